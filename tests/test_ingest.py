@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from seed import ITEMS, WIDE, items, transactions
+
+from tillwright.operators import ingest
+
+BY_ID = ("transaction_id",)
+
+
+@pytest.mark.parametrize(
+    "as_of, kept",
+    [
+        (datetime(2025, 11, 5, 9, 14, 33), [1]),
+        (datetime(2025, 11, 8, 11, 10, 0), [1, 2, 3, 4, 5]),
+        (datetime(2025, 11, 8, 11, 9, 59), [1, 2, 3, 4]),
+    ],
+)
+def test_age_filter_keeps_exactly_the_old_rows(spark, as_of, kept):
+    aged = ingest.aged_transactions(transactions(spark), as_of)
+    assert sorted(r.transaction_id for r in aged.collect()) == kept
+
+
+def test_age_filter_drops_rows_without_a_time_and_reaches_the_scan(spark, tmp_path):
+    undated = transactions(spark).withColumn("created_at", F.lit(None).cast("timestamp"))
+    path = str(tmp_path / "t")
+    transactions(spark).unionByName(undated).write.parquet(path)
+    aged = ingest.aged_transactions(spark.read.parquet(path), datetime(2025, 12, 1))
+    assert aged.count() == 5
+    plan = aged._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(created_at" in plan
+
+
+def test_age_filter_defaults_to_now(spark):
+    future = transactions(spark).withColumn("created_at", F.current_timestamp())
+    assert ingest.aged_transactions(transactions(spark).unionByName(future)).count() == 5
+
+
+def test_items_follow_the_selected_transactions(spark, rows):
+    chosen = transactions(spark).where("transaction_id IN (2, 5)")
+    got = rows(ingest.items_of(items(spark), chosen, BY_ID))
+    assert got == sorted((i for i in ITEMS if i[0] in (2, 5)), key=repr)
+    assert ingest.items_of(items(spark), chosen.where("false"), BY_ID).count() == 0
+
+
+@pytest.mark.parametrize("slots", [3, 20, None])
+def test_wide_orders_match_the_golden_rows(spark, slots):
+    wide = ingest.wide_orders(transactions(spark), items(spark), slots, BY_ID)
+    width = slots or 3
+    assert wide.columns[:8] == transactions(spark).columns
+    assert wide.columns[8:] == [
+        f"{kind}_{i}" for i in range(1, width + 1) for kind in ("product_id", "quantity")
+    ]
+    got = {r["transaction_id"]: list(r)[8:14] for r in wide.collect()}
+    assert got == WIDE
+
+
+def test_transactions_without_items_keep_null_slots(spark):
+    wide = ingest.wide_orders(transactions(spark), items(spark).where("false"), 2, BY_ID)
+    assert [tuple(r)[8:] for r in wide.collect()] == [(None,) * 4] * 5
+
+
+def test_a_basket_wider_than_the_slots_fails_the_job(spark):
+    with pytest.raises(Exception, match="more than 2 items"):
+        ingest.wide_orders(transactions(spark), items(spark), 2, BY_ID).collect()
+
+
+def test_young_wide_baskets_do_not_fail_the_job(spark):
+    others = transactions(spark).where("transaction_id <> 4")
+    assert ingest.wide_orders(others, items(spark), 2, BY_ID).count() == 4
+
+
+def test_baskets_are_cut_before_the_shuffle(spark):
+    plan = ingest.pivot_items(items(spark), 5, BY_ID)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("WindowGroupLimit") == 2
+
+
+def test_rank_orders_by_product_id(spark, rows):
+    ranked = rows(ingest.rank_items(items(spark), BY_ID))
+    want = []
+    for t in {i[0] for i in ITEMS}:
+        basket = sorted(i for i in ITEMS if i[0] == t)
+        want += [(*item, n) for n, item in enumerate(basket, 1)]
+    assert ranked == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("hot_rows", [5, 40, 10_000])
+def test_rank_of_hot_baskets_equals_the_plain_rank(spark, rows, hot_rows):
+    rng = random.Random(7)
+    data = [(1, f"p{n:05d}", n) for n in rng.sample(range(90_000), 3000)]
+    data += [(None, f"p{n:05d}", n) for n in rng.sample(range(90_000), 500)]
+    data += [(t, f"p{n:05d}", n) for t in range(2, 200) for n in rng.sample(range(90_000), 4)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "transaction_id int, product_id string, quantity int")
+    got = rows(ingest.rank_items(df.repartition(6), BY_ID, min_hot_rows=hot_rows))
+    want, seen = [], {}
+    for t, p, q in sorted(data, key=lambda r: (r[0] or 0, r[1])):
+        seen[t] = seen.get(t, 0) + 1
+        want.append((t, p, q, seen[t]))
+    assert got == sorted(want, key=repr)
+
+
+def test_collation_changes_the_order_of_ids(spark):
+    df = spark.createDataFrame(
+        [(1, "b", 1), (1, "A", 1), (1, "C", 1)],
+        "transaction_id int, product_id string, quantity int",
+    )
+    order = lambda d: [
+        str(r.product_id) for r in ingest.rank_items(d, BY_ID).orderBy("product_rank").collect()
+    ]
+    assert order(df) == ["A", "C", "b"]
+    assert order(ingest.collated(df, "UNICODE_CI")) == ["A", "b", "C"]

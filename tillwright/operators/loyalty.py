@@ -104,6 +104,8 @@ def assign_tiers(
 
 
 def _tier_in_place(steps: list, points: Column) -> Column:
+    if not steps:
+        return F.lit(None).cast("string")
     ladder = F.array(
         *[
             F.struct(F.lit(step["min_point"]).alias("min_point"), F.lit(step["tier"]).alias("tier"))

@@ -188,30 +188,28 @@ def product_details(
     The name is looked for inside the section, price and code on the whole page;
     a missing price or code is the empty string, a missing name is null.
     """
-    shape = T.StructType().add("name", "string").add("price", "string").add("code", "string")
+    shape = T.ArrayType(
+        T.StructType().add("name", "string").add("price", "string").add("code", "string")
+    )
 
     def content(element: Element | None, otherwise: str | None) -> str | None:
         return otherwise if element is None else element.text()
 
-    def read(html: str) -> dict | None:
+    def read(html: str) -> list[dict]:
         page = read_page(html, *sections, name, price, code)
         section = page.first(*sections)
         if section is None:
-            return None
-        return {
+            return []
+        record = {
             "name": content(section.first(name), None),
             "price": content(page.first(price), ""),
             "code": content(page.first(code), ""),
         }
+        return [record]
 
-    @F.pandas_udf(shape)
-    def parse(batch: pd.Series) -> pd.DataFrame:
-        nothing = {"name": None, "price": None, "code": None}
-        return pd.DataFrame([read(h) or nothing for h in batch], columns=shape.names)
-
-    found = _having(pages, *sections).select("page_id", "url", parse("html").alias("d"))
-    # Price is null only where the section is missing.
-    return found.where("d.price IS NOT NULL").select("page_id", "url", "d.*")
+    return _having(pages, *sections).select(
+        "page_id", "url", F.inline(_parsed(F.col("html"), shape, read))
+    )
 
 
 def store_cards(

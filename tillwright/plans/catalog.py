@@ -223,11 +223,15 @@ def idempotent_append(spark, folder):
     """Item rows loaded from an early, a late and again the late snapshot."""
     path = shared_folder(spark, "facts")
     for moment in (EARLIER, AS_OF, AS_OF):
-        rows = reshape.long_orders(_wide(spark, folder, moment)).withColumn(
-            "month", month_bucket(F.col("created_at"))
-        )
+        month = month_bucket(F.col("created_at")).alias("month")
         warehouse.append_facts(
-            rows, path, ("transaction_id", "product_id"), ("store_name", "created_at")
+            reshape.long_orders(_wide(spark, folder, moment)).select("*", month),
+            path,
+            ("transaction_id", "product_id"),
+            ("store_name", "created_at"),
+            months=warehouse.months_of(
+                _aged(spark, folder, moment, with_store=False).select(month)
+            ),
         )
     return spark.read.parquet(path)
 
@@ -420,7 +424,11 @@ def stream_sales(spark, folder):
         spark, "text", {"path": f"{base}/topic", "maxFilesPerTrigger": "4"}
     )
 
-    dims = [d(spark, folder) for d in (_dim_store, _dim_employee, _dim_customer, _dim_product)]
+    dims = []
+    for build in (_dim_store, _dim_employee, _dim_customer, _dim_product):
+        name = build.__name__.removeprefix("_")
+        warehouse.write_dimension(build(spark, folder), base, name)
+        dims.append(spark.read.parquet(f"{base}/{name}"))
 
     def to_facts(valid: DataFrame) -> DataFrame:
         return facts.fact_of_orders(valid.withColumn("store_name", F.lit("store-1")), *dims)
