@@ -56,30 +56,38 @@ def basket_width(items: DataFrame, keys: Sequence[str] = ORDER_KEYS) -> int:
     return int(widest["n"] or 0)
 
 
-def gather_items(
-    items: DataFrame,
-    limit: int,
-    keys: Sequence[str] = ORDER_KEYS,
-    fields: Sequence[str] = ("product_id", "quantity"),
-    name: str = "items",
+def _gathered(
+    items: DataFrame, limit: int, keys: Sequence[str], fields: Sequence[str]
 ) -> DataFrame:
-    """One row per transaction with its items as an array, by product id.
+    """One row per transaction with its items, ranked by product id, in array ``_b``.
 
     The bound on the rank lets the planner cut each basket to ``limit + 1`` items
     before the shuffle, which is one more than fits: a row in that place fails
     the job, so no item is ever left out.
     """
-    keys = list(keys)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("product_id"))
     gathered = (
         items.select(*keys, *fields, rank.alias("_rank"))
         .where(F.col("_rank") <= limit + 1)
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", *fields))).alias("_b"))
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", *fields))).alias("_b"))
     )
     overflow = F.raise_error(F.lit(f"a transaction has more than {limit} items; raise the limit"))
-    kept = F.transform("_b", lambda entry: F.struct(*[entry[f].alias(f) for f in fields]))
-    return gathered.select(*keys, F.when(F.size("_b") > limit, overflow).otherwise(kept).alias(name))
+    return gathered.select(
+        *keys, F.when(F.size("_b") > limit, overflow).otherwise(F.col("_b")).alias("_b")
+    )
+
+
+def gather_items(
+    items: DataFrame,
+    limit: int,
+    keys: Sequence[str] = ORDER_KEYS,
+    fields: Sequence[str] = ("product_id", "quantity"),
+    name: str = "items",
+) -> DataFrame:
+    """One row per transaction with its items as an array, by product id."""
+    plain = F.transform("_b", lambda entry: F.struct(*[entry[f].alias(f) for f in fields]))
+    return _gathered(items, limit, keys, fields).select(*keys, plain.alias(name))
 
 
 def pivot_items(
@@ -92,9 +100,9 @@ def pivot_items(
     wide = []
     for slot in range(1, slots + 1):
         product, quantity = slot_columns(slot)
-        entry = F.get("items", F.lit(slot - 1))
+        entry = F.get("_b", F.lit(slot - 1))
         wide += [entry["product_id"].alias(product), entry["quantity"].alias(quantity)]
-    return gather_items(items, slots, keys).select(*keys, *wide)
+    return _gathered(items, slots, keys, ("product_id", "quantity")).select(*keys, *wide)
 
 
 def wide_orders(

@@ -32,11 +32,13 @@ def split_on_reason(judged: DataFrame, reason: str = "reject_reason") -> Split:
 
 
 def parse_orders(documents: DataFrame, column: str = "value") -> DataFrame:
-    """JSON order documents as typed columns; the text is kept as ``document``."""
+    """JSON order documents as typed columns; the text is kept as ``document``.
+
+    Unpacking through an array makes the parse a step of its own: filters on the
+    fields do not repeat it.
+    """
     order = F.from_json(F.col(column), ORDER, {"mode": "PERMISSIVE"})
-    return documents.select(F.col(column).alias("document"), order.alias("o")).select(
-        "document", "o.*"
-    )
+    return documents.select(F.col(column).alias("document"), F.inline(F.array(order)))
 
 
 def with_order_defaults(orders: DataFrame) -> DataFrame:

@@ -68,8 +68,9 @@ def unique_check(rows: DataFrame, table: str, name: str, keys: Sequence[str]) ->
 def orphans(child: DataFrame, foreign: str, parent: DataFrame, key: str) -> DataFrame:
     """Foreign key values no parent has, with how many rows use them.
 
-    Child rows are counted per value before the join, so a value that fills much
-    of the table is one row by then.
+    Child rows are counted per value before a shuffled join, so a value that fills
+    much of the table is one row by then. The planner joins first only where it can
+    broadcast the parent.
     """
     used = child.where(F.col(foreign).isNotNull()).groupBy(F.col(foreign).alias("value")).agg(
         F.count(F.lit(1)).alias("rows")

@@ -27,6 +27,7 @@ from tillwright.session import prepare, shared_folder
 from tillwright.sinks import keyvalue, warehouse
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.tables import Store, read_stores
+from tillwright.sources.views import name_tables
 from tillwright.streaming import events as event_stream, sales as sales_stream, state
 
 AS_OF = datetime(2001, 8, 1)
@@ -129,6 +130,19 @@ def first_transactions(spark, folder):
     )
 
 
+@query
+def adhoc_sql(spark, folder):
+    name_tables(
+        transactions=sample.transactions(spark, folder, with_store=False),
+        transaction_item=sample.transaction_items(spark, folder),
+    )
+    return spark.sql(
+        """SELECT t.transaction_id, payment_method, product_id, quantity
+           FROM transactions t JOIN transaction_item i ON i.transaction_id = t.transaction_id
+           WHERE created_at <= TIMESTAMP_NTZ '1998-08-01 00:00:00' - INTERVAL 7 DAY"""
+    )
+
+
 # --- warehouse -------------------------------------------------------------------
 
 

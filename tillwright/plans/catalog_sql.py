@@ -226,6 +226,10 @@ JOIN (VALUES ('store-1'), ('store-2')) s(store_name) ON TRUE""",
 SELECT transaction_id, {_TX_FIELDS}, '2001_08_01' AS snapshot_date FROM aged""",
     "first_transactions": f"""{_with(_TRANSACTIONS)}
 SELECT transaction_id, {_TX_FIELDS} FROM tx ORDER BY transaction_id LIMIT 3""",
+    "adhoc_sql": f"""{_with(_TRANSACTIONS, _ITEMS)}
+SELECT transaction_id, payment_method, product_id, quantity
+FROM tx JOIN items USING (transaction_id)
+WHERE created_at <= {_EARLIER} - INTERVAL 7 DAY""",
     "dim_store": f"{_with(_DIM_STORE)} SELECT * FROM dim_store",
     "dim_employee": f"{_with(_DIM_STORE, _STAFF, _DIM_EMPLOYEE)} SELECT * FROM dim_employee",
     "dim_product": f"{_with(_DIM_PRODUCT)} SELECT * FROM dim_product",

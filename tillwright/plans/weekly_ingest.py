@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.functions.dates import snapshot_label
 from tillwright.operators.ingest import DEFAULT_SLOTS, aged_transactions, items_of, wide_orders
-from tillwright.sinks.lake import write_raw, write_staged
+from tillwright.sinks.lake import by_store, write_raw, write_staged
 from tillwright.sources.snapshots import raw_orders, require_inputs, staged
 from tillwright.sources.tables import Store, read_stores
 
@@ -23,7 +23,7 @@ def stage(spark: SparkSession, stores: Sequence[Store], lake: str, as_of: dateti
     # The staged copy is what was selected; the stores are not asked a second time.
     selected = staged(spark, lake, "transactions", snapshot)
     items = items_of(read_stores(spark, stores, "transaction_item"), selected)
-    write_staged(items, lake, "transaction_item", snapshot, names)
+    write_staged(by_store(items), lake, "transaction_item", snapshot, names)
     return snapshot
 
 

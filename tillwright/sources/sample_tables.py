@@ -26,8 +26,28 @@ PAYMENT_BY_PRIORITY = {
 }
 
 
+# Declared, so that reading a table runs no job to learn its columns.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "pages": "page_id long, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _store_of(nation):
@@ -127,9 +147,9 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def tiers(spark: SparkSession) -> DataFrame:
     """The tier thresholds used with these tables."""
-    return spark.createDataFrame(
-        [("bronze", 0, 0), ("silver", 500, 5), ("gold", 1000, 10)],
-        "tier string, min_point int, discount_percentage int",
+    return spark.sql(
+        "SELECT * FROM VALUES ('bronze', 0, 0), ('silver', 500, 5), ('gold', 1000, 10)"
+        " AS t(tier, min_point, discount_percentage)"
     )
 
 
