@@ -174,6 +174,15 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
+def _text(html: str) -> str:
+    """Text of a piece of HTML: tags and the blanks around them out, entities read."""
+    text = rf"trim(regexp_replace({html}, '\s*<[^>]*>\s*', '', 'g'))"
+    # A reference at the end of a cut-off text has lost its semicolon and still counts.
+    for entity, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#x27", "''"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{sign}', 'g')"
+    return text
+
+
 def _slug(text: str) -> str:
     slug = f"strip_accents(replace(trim(lower({text})), 'đ', 'd'))"
     slug = f"regexp_replace({slug}, '[^\\x00-\\x7F]', '', 'g')"
@@ -442,10 +451,24 @@ LEFT JOIN dim_product p ON p.product_id = l.product_id""",
     "page_links": """
 SELECT page_id, CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS pos, unnest(hrefs) AS link
 FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]+)"', 1) AS hrefs FROM pages)""",
-    "page_details": """
-SELECT page_id, trim(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&amp;', '&'))
-         AS name, '' AS price, '' AS code
+    "page_details": f"""
+SELECT page_id, {_text("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS name,
+       '' AS price, '' AS code
 FROM pages WHERE contains(html, '<article')""",
+    # An unclosed paragraph runs to the end of its article.
+    "store_cards": rf"""
+WITH parts AS (
+  SELECT page_id, regexp_extract(html, '<div class="ad">([^<]*)', 1) AS district,
+         regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') AS shop_name,
+         regexp_extract(html, '<article>.*?<p>.*?<p>(.*?)</article>', 1, 's') AS rest
+  FROM pages WHERE contains(html, '<article')),
+placed AS (
+  SELECT *, CASE WHEN contains(split_part(rest, '</p>', 1), '<p>') THEN rest
+                 ELSE split_part(rest, '</p>', 1) END AS address FROM parts)
+SELECT page_id, CAST(0 AS INTEGER) AS pos, {_text("district")} AS district,
+       {_text("shop_name")} AS shop_name,
+       CASE WHEN rest <> '' THEN {_text("address")} END AS address
+FROM placed""",
     "region_slug": f"""
 SELECT page_id, province, slug, 'https://stores.example.com/' || slug AS link
 FROM (SELECT page_id, {_TITLE} AS province, {_slug(_TITLE)} AS slug FROM pages)""",
