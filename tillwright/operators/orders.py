@@ -68,10 +68,6 @@ def judge_orders(orders: DataFrame) -> DataFrame:
     return with_order_defaults(orders).withColumn("reject_reason", first_reason(*rules))
 
 
-def split_orders(orders: DataFrame) -> Split:
-    return split_on_reason(judge_orders(orders))
-
-
 def nested_totals(orders: DataFrame, discount_mode: str = "amount") -> DataFrame:
     """Total and final amount of nested orders, from the items in each row."""
     total = F.aggregate(
@@ -125,6 +121,11 @@ class NormalOrders(NamedTuple):
 
 def normalise_orders(documents: DataFrame, column: str = "value") -> NormalOrders:
     """JSON order documents as priced orders, their header and item rows, and rejects."""
-    judged = split_orders(parse_orders(documents, column))
-    valid = nested_totals(judged.valid).drop("document", "given_payment")
-    return NormalOrders(valid, order_header(valid), order_items(valid), judged.rejected)
+    return normal_form(judge_orders(parse_orders(documents, column)))
+
+
+def normal_form(judged: DataFrame) -> NormalOrders:
+    """The same for orders that are parsed and judged already."""
+    valid, rejected = split_on_reason(judged)
+    valid = nested_totals(valid).drop("document", "given_payment")
+    return NormalOrders(valid, order_header(valid), order_items(valid), rejected)

@@ -84,13 +84,13 @@ def transactions(spark: SparkSession, folder: str, with_store: bool = True) -> D
 
 def transaction_items(spark: SparkSession, folder: str) -> DataFrame:
     """Line items summed to one row per order and part."""
-    return (
-        table(spark, folder, "lineitem")
-        .groupBy(
-            F.col("l_orderkey").alias("transaction_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-        )
-        .agg(F.sum("l_quantity").cast("int").alias("quantity"))
+    summed = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+        F.sum("l_quantity").alias("_quantity")
+    )
+    return summed.select(
+        F.col("l_orderkey").alias("transaction_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("_quantity").cast("int").alias("quantity"),
     )
 
 
