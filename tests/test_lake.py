@@ -9,7 +9,9 @@ from seed import WIDE, items, products, transactions
 from tillwright import schemas
 from tillwright.plans import warehouse_load, weekly_ingest
 from tillwright.session import shared_folder
-from tillwright.sinks.lake import export_table, write_csv
+from tillwright.operators.facts import dropped_transactions
+from tillwright.operators.ingest import wide_orders
+from tillwright.sinks.lake import export_table, write_csv, write_raw
 from tillwright.sources.snapshots import missing_inputs, raw_orders, staged
 from tillwright.sources.tables import Store, partitioned_jdbc, read_csv, read_stores, read_table
 
@@ -60,6 +62,14 @@ def test_ingest_writes_wide_orders_per_store(spark, pos, tmp_path):
         assert got == WIDE
 
 
+def test_the_raw_zone_tells_what_the_fact_will_drop(spark, tmp_path, rows):
+    some = items(spark).where("transaction_id <> 3")
+    wide = wide_orders(transactions(spark), some, 3, ("transaction_id",))
+    write_raw(wide.withColumn("store_name", F.lit("s")), str(tmp_path), "2025_11_08")
+    raw = raw_orders(spark, str(tmp_path), "2025_11_08")
+    assert rows(dropped_transactions(raw)) == [(5, 1)]
+
+
 def test_a_store_without_old_orders_is_not_missing(spark, pos, tmp_path):
     lake = str(tmp_path / "lake")
     early = datetime(2025, 1, 1)

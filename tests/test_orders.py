@@ -9,7 +9,7 @@ from seed import items, products
 
 from tillwright.operators import lookups, orders
 from tillwright.sinks.orders import save_orders, saved_orders
-from tillwright.sources.order_files import read_order_files
+from tillwright.sources.order_files import number_or_text, read_order_files
 
 
 def document(**changes):
@@ -126,6 +126,21 @@ def test_first_rows_and_single_rows(spark, rows):
     assert lookups.row_by_key(p, F.col("id") == "THE001").count() == 1
 
 
+def test_numbers_and_text_are_told_apart(spark):
+    df = spark.createDataFrame([(" 12.5 ",), ("x1",), (None,)], "v string")
+    number, text = number_or_text(F.col("v"))
+    assert [tuple(r) for r in df.select(number, text).collect()] == [
+        (12.5, "12.5"), (None, "x1"), (None, None)
+    ]
+
+
+def test_a_huge_order_keeps_its_amounts(spark):
+    huge = document(items=[{"product_id": "A", "quantity": 5_000_000_000, "unit_price": 90000}])
+    header = orders.normalise_orders(frame(spark, huge)).headers.first()
+    assert header.total_amount == 450_000_000_000_000
+    assert header.point_changed == 44_999_999_999
+
+
 def test_order_files_keep_commas_inside_json(spark, tmp_path):
     path = tmp_path / "orders.csv"
     cells = '[{""product_id"":""A,1"",""quantity"":2,""unit_price"":3},' \

@@ -92,6 +92,14 @@ def test_fact_grain_and_transaction_grain(spark, dims):
     ]
 
 
+def test_dimensions_have_their_declared_columns(spark, dims):
+    declared = (schemas.DIM_STORE, schemas.DIM_EMPLOYEE, schemas.DIM_CUSTOMER, schemas.DIM_PRODUCT)
+    for dim, schema in zip(dims, declared):
+        assert dim.dtypes == [(f.name, f.dataType.simpleString()) for f in schema]
+    calendar = dimensions.dim_date(spark, date(2025, 1, 1), date(2025, 1, 2))
+    assert calendar.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.DIM_DATE]
+
+
 def test_null_points_count_as_zero(spark, dims):
     unset = transactions(spark).withColumn("point_changed", F.lit(None).cast("int"))
     wide = ingest.wide_orders(unset, items(spark), 3, BY_ID)

@@ -8,8 +8,8 @@ from tillwright.operators.orders import Split, first_reason, split_on_reason
 
 # Tiers up to this number are searched as one sorted array in each row.
 MAX_LADDER_TIERS = 1_000
-# Points are 32-bit, so blocks of this width number 2**16 at most.
-POINT_BLOCK = 65_536
+# Points per block of the joined search: a million blocks reach a trillion points.
+POINT_BLOCK = 1_000_000
 
 
 def judge_customer_requests(requests: DataFrame) -> Split:
@@ -62,7 +62,7 @@ def upsert_customers(
 def accrued(requests: DataFrame, at: str = "requested_at") -> DataFrame:
     """Points and money earned per customer, missing values counted as 0."""
     return requests.groupBy("customer_id").agg(
-        F.sum(F.coalesce("earned_point", F.lit(0))).cast("int").alias("_points"),
+        F.sum(F.coalesce("earned_point", F.lit(0))).cast("long").alias("_points"),
         F.sum(F.coalesce("amount", F.lit(0))).cast("long").alias("_money"),
         F.max(at).alias("_at"),
     )
@@ -77,7 +77,7 @@ def accrue_points(
     return loyalty.join(earned, "customer_id", "full_outer").select(
         "customer_id",
         "tier",
-        (F.coalesce("point", zero) + F.coalesce("_points", zero)).cast("int").alias("point"),
+        (F.coalesce("point", zero) + F.coalesce("_points", zero)).cast("long").alias("point"),
         (F.coalesce("total_money_used", zero) + F.coalesce("_money", zero))
         .cast("long")
         .alias("total_money_used"),
@@ -120,8 +120,8 @@ def _tier_by_join(customers: DataFrame, tiers: DataFrame, point: str) -> DataFra
     """Carry the last threshold forward over the distinct point values, by block.
 
     Inside a block the carry is a window; a block that starts above its own first
-    threshold takes the best tier of the blocks before it. Both windows are bounded
-    by the 32-bit range of points.
+    threshold takes the best tier of the blocks before it. Values are distinct, so a
+    block holds no more rows than its width.
     """
     value, step = F.col("_value"), F.col("_step")
     steps = tiers.groupBy(F.col("min_point").alias("_value")).agg(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwright.functions.money import after_discount, line_total, points_for
 from tillwright.functions.payments import storage_payment
 from tillwright.operators.reshape import order_header, order_items
-from tillwright.schemas import DEFAULT_PAYMENT, ORDER
+from tillwright.schemas import DEFAULT_PAYMENT, MONEY, MONEY_SUM, ORDER
 
 
 class Split(NamedTuple):
@@ -46,7 +46,7 @@ def with_order_defaults(orders: DataFrame) -> DataFrame:
     method = F.coalesce("payment_method", F.lit(DEFAULT_PAYMENT))
     return orders.withColumns(
         {
-            "discount": F.coalesce("discount", F.lit(0)).cast("decimal(18,2)"),
+            "discount": F.coalesce("discount", F.lit(0)).cast(MONEY),
             "given_payment": method,
             "payment_method": storage_payment(method),
         }
@@ -72,8 +72,8 @@ def nested_totals(orders: DataFrame, discount_mode: str = "amount") -> DataFrame
     """Total and final amount of nested orders, from the items in each row."""
     total = F.aggregate(
         "items",
-        F.lit(0).cast("decimal(18,2)"),
-        lambda acc, i: (acc + line_total(i["quantity"], i["unit_price"])).cast("decimal(18,2)"),
+        F.lit(0).cast(MONEY_SUM),
+        lambda acc, i: (acc + line_total(i["quantity"], i["unit_price"])).cast(MONEY_SUM),
     )
     return _with_amounts(orders.withColumn("total_amount", total), discount_mode)
 
@@ -89,7 +89,7 @@ def item_totals(
         F.sum(line_total(F.col("quantity"), F.col("unit_price"))).alias("total_amount")
     )
     joined = headers.join(sums, list(keys), "left").withColumn(
-        "total_amount", F.coalesce("total_amount", F.lit(0)).cast("decimal(18,2)")
+        "total_amount", F.coalesce("total_amount", F.lit(0)).cast(MONEY_SUM)
     )
     return _with_amounts(joined, discount_mode)
 
@@ -107,7 +107,7 @@ def priced_items(items: DataFrame, products: DataFrame) -> DataFrame:
     own = F.col("unit_price") if "unit_price" in items.columns else F.lit(None)
     return (
         items.join(prices, "product_id", "left")
-        .withColumn("unit_price", F.coalesce(own, "_list_price").cast("decimal(18,2)"))
+        .withColumn("unit_price", F.coalesce(own, "_list_price").cast(MONEY))
         .drop("_list_price")
     )
 

@@ -20,7 +20,7 @@ tx AS (
            WHEN '4-NOT SPECIFIED' THEN 'cash' WHEN '5-LOW' THEN 'cash' END AS payment_method,
          CAST(0 AS DOUBLE) AS discount,
          CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount,
-         CAST(floor(CAST(o.o_totalprice AS DECIMAL(18,2)) / 10000) AS INTEGER) AS point_changed
+         CAST(floor(CAST(o.o_totalprice AS DECIMAL(18,2)) / 10000) AS BIGINT) AS point_changed
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)"""
 
 _TX_FIELDS = """employee_id, customer_id, created_at, payment_method, discount,
@@ -31,7 +31,7 @@ _AGED = f"aged AS (SELECT * FROM tx WHERE created_at <= {_AS_OF} - INTERVAL 7 DA
 _ITEMS = """
 items AS (
   SELECT l_orderkey AS transaction_id, CAST(l_partkey AS VARCHAR) AS product_id,
-         CAST(sum(l_quantity) AS INTEGER) AS quantity
+         CAST(sum(l_quantity) AS BIGINT) AS quantity
   FROM lineitem GROUP BY l_orderkey, l_partkey)"""
 
 _RANKED = """
@@ -94,7 +94,7 @@ customers AS (
 
 _LOYALTY = """
 loyal AS (
-  SELECT customer_id, CAST(sum(point_changed) AS INTEGER) AS point,
+  SELECT customer_id, CAST(sum(point_changed) AS BIGINT) AS point,
          CAST(floor(sum(amount)) AS BIGINT) AS total_money_used,
          max(created_at) AS last_updated
   FROM tx GROUP BY customer_id),
@@ -214,7 +214,7 @@ SELECT store_name, transaction_id, {_TX_FIELDS} FROM aged""",
 SELECT * FROM items WHERE transaction_id IN
   (SELECT transaction_id FROM tx WHERE created_at <= {_EARLIER} - INTERVAL 7 DAY)""",
     "item_rank": f"""{_with(_ITEMS, _RANKED)}
-SELECT transaction_id, product_id, quantity, CAST(r AS INTEGER) AS product_rank FROM ranked""",
+SELECT transaction_id, product_id, quantity, CAST(r AS BIGINT) AS product_rank FROM ranked""",
     "orders_wide": f"""{_with(_TRANSACTIONS, _AGED, _ITEMS, _RANKED, _WIDE)}
 SELECT store_name, transaction_id, {_TX_FIELDS}, {_SLOT_NAMES}
 FROM aged LEFT JOIN slots USING (transaction_id)""",
@@ -285,7 +285,7 @@ FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag
     "order_totals": f"""{_with(*_ORDERS)}
 SELECT transaction_id, customer_id, employee_id, created_at, CAST(discount AS DOUBLE) AS discount,
        given AS payment_method, CAST(total AS DOUBLE) AS total_amount,
-       CAST(final AS DOUBLE) AS final_amount, CAST(floor(final / 10000) AS INTEGER) AS point_changed
+       CAST(final AS DOUBLE) AS final_amount, CAST(floor(final / 10000) AS BIGINT) AS point_changed
 FROM totals""",
     "order_totals_percent": f"""{_with(*_ORDERS)}
 SELECT transaction_id, CAST(total AS DOUBLE) AS total_amount,
@@ -295,7 +295,7 @@ FROM totals""",
     "order_header_rows": f"""{_with(*_ORDERS)}
 SELECT transaction_id, customer_id, employee_id, created_at, CAST(discount AS DOUBLE) AS discount,
        payment_method, CAST(total AS DOUBLE) AS total_amount,
-       CAST(final AS DOUBLE) AS final_amount, CAST(floor(final / 10000) AS INTEGER) AS point_changed
+       CAST(final AS DOUBLE) AS final_amount, CAST(floor(final / 10000) AS BIGINT) AS point_changed
 FROM valid""",
     "order_item_rows": f"""{_with(*_ORDERS)}
 SELECT transaction_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price
@@ -395,11 +395,11 @@ SELECT COALESCE(c.id, a.id) AS id, COALESCE(asked_name, name) AS name,
 FROM customers c FULL JOIN asked a ON c.id = a.id""",
     "points_accrual": f"""{_with(_TRANSACTIONS, _LOYALTY)},
 earned AS (
-  SELECT CAST(user_id AS VARCHAR) AS customer_id, sum(CAST(floor(value) AS INTEGER)) AS points,
+  SELECT CAST(user_id AS VARCHAR) AS customer_id, sum(CAST(floor(value) AS BIGINT)) AS points,
          sum(CAST(floor(value * 10000) AS BIGINT)) AS money, max(ts) AS latest
   FROM events WHERE event_type = 'purchase' GROUP BY user_id)
 SELECT customer_id, CAST(NULL AS VARCHAR) AS tier,
-       CAST(COALESCE(point, 0) + COALESCE(points, 0) AS INTEGER) AS point,
+       CAST(COALESCE(point, 0) + COALESCE(points, 0) AS BIGINT) AS point,
        CAST(COALESCE(total_money_used, 0) + COALESCE(money, 0) AS BIGINT) AS total_money_used,
        COALESCE(latest, last_updated) AS last_updated
 FROM loyal FULL JOIN earned USING (customer_id)""",
@@ -417,7 +417,7 @@ SELECT 'unknown type' AS reject_reason, count(*) AS messages
 FROM events WHERE event_type NOT IN ('signup', 'purchase')""",
     "stream_points": f"""
 SELECT CAST(user_id AS VARCHAR) AS customer_id,
-       arg_max(CAST(floor(value) AS INTEGER), k) AS points,
+       arg_max(CAST(floor(value) AS BIGINT), k) AS points,
        arg_max(CAST(floor(value * 10000) AS BIGINT), k) AS total_money_used
 FROM (SELECT *, row_number() OVER (ORDER BY {_MILLIS}, floor(value), floor(value * 10000)) AS k
       FROM events WHERE event_type = 'purchase') GROUP BY user_id""",
@@ -428,7 +428,7 @@ FROM (SELECT *, row_number() OVER (ORDER BY {_MILLIS}, 'User ' || CAST(event_id
       FROM events WHERE event_type = 'signup') GROUP BY user_id""",
     "stream_accrual": f"""
 SELECT CAST(user_id AS VARCHAR) AS customer_id,
-       CAST(sum(CAST(floor(value) AS INTEGER)) AS INTEGER) AS point,
+       CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS point,
        CAST(sum(CAST(floor(value * 10000) AS BIGINT)) AS BIGINT) AS total_money_used,
        make_timestamp(max({_MILLIS}) * 1000) AS last_updated
 FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
@@ -440,7 +440,7 @@ SELECT sha256('store-1:' || transaction_id || ':' || l.product_id) AS sales_key,
        COALESCE(s.store_key, 0) AS store_key, COALESCE(e.employee_key, 0) AS employee_key,
        COALESCE(c.customer_key, 0) AS customer_key, COALESCE(p.product_key, 0) AS product_key,
        quantity, CAST(discount AS DOUBLE) AS discount, CAST(final AS DOUBLE) AS final_amount,
-       CAST(floor(final / 10000) AS INTEGER) AS point_changed, payment_method, created_at,
+       CAST(floor(final / 10000) AS BIGINT) AS point_changed, payment_method, created_at,
        'store-1' AS store_name, transaction_id, l.product_id,
        CAST(strftime(created_at, '%Y%m') AS INTEGER) AS month
 FROM valid v JOIN lines l USING (transaction_id)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.functions.dates import snapshot_label
+from tillwright.operators.facts import dropped_transactions
 from tillwright.operators.ingest import DEFAULT_SLOTS, aged_transactions, items_of, wide_orders
 from tillwright.sinks.lake import by_store, write_raw, write_staged
 from tillwright.sources.snapshots import raw_orders, require_inputs, staged
 from tillwright.sources.tables import Store, read_stores
 
+log = logging.getLogger(__name__)
+
 
 def stage(spark: SparkSession, stores: Sequence[Store], lake: str, as_of: datetime) -> str:
     """Stage aged transactions and their items from every store; return the snapshot."""
@@ -53,4 +57,6 @@ def run(
     snapshot = stage(spark, stores, lake, as_of)
     wide = build_raw(spark, [store.name for store in stores], lake, snapshot, slots)
     write_raw(wide, lake, snapshot)
+    written = dropped_transactions(raw_orders(spark, lake, snapshot)).first()
+    log.info("snapshot %s: %s", snapshot, written.asDict())
     return snapshot

@@ -13,6 +13,9 @@ STR, INT, LONG, SHORT = T.StringType(), T.IntegerType(), T.LongType(), T.ShortTy
 DATE, TS = T.DateType(), T.TimestampType()
 PERCENT = T.DecimalType(5, 2)
 MONEY = T.DecimalType(18, 2)
+# Sums of money, points and quantities are wide enough for a key that fills much of a
+# table.
+MONEY_SUM = T.DecimalType(28, 2)
 
 # --- store systems -----------------------------------------------------------
 EMPLOYEE = _struct(
@@ -35,14 +38,14 @@ LOYALTY_TIER = _struct(
 )
 CUSTOMER_INFO = _struct(("id", STR), ("name", STR), ("join_date", TS))
 LOYALTY_CUSTOMER = _struct(
-    ("customer_id", STR), ("tier", STR), ("point", INT), ("total_money_used", LONG),
+    ("customer_id", STR), ("tier", STR), ("point", LONG), ("total_money_used", LONG),
     ("last_updated", TS),
 )
 CUSTOMERS_POINT = _struct(
-    ("customer_id", STR), ("tier", STR), ("points", INT), ("total_money_used", LONG),
+    ("customer_id", STR), ("tier", STR), ("points", LONG), ("total_money_used", LONG),
 )
 CUSTOMERS_INFO = _struct(("customer_id", STR), ("name", STR), ("join_date", TS))
-ACCRUAL = _struct(("customer_id", STR), ("earned_point", INT), ("amount", LONG))
+ACCRUAL = _struct(("customer_id", STR), ("earned_point", LONG), ("amount", LONG))
 
 # --- warehouse ---------------------------------------------------------------
 DIM_STORE = _struct(
@@ -66,14 +69,14 @@ DIM_DATE = _struct(
 )
 
 # --- order documents and events ------------------------------------------------
-ORDER_ITEM = _struct(("product_id", STR), ("quantity", INT), ("unit_price", MONEY))
+ORDER_ITEM = _struct(("product_id", STR), ("quantity", LONG), ("unit_price", MONEY))
 ORDER = _struct(
     ("transaction_id", STR), ("customer_id", STR), ("employee_id", STR), ("created_at", TS),
     ("items", T.ArrayType(ORDER_ITEM)), ("discount", MONEY), ("payment_method", STR),
 )
 EVENT_PAYLOAD = _struct(
     ("customer_id", STR), ("store_id", STR), ("name", STR), ("join_date", STR),
-    ("points", INT), ("total_money_used", LONG), ("last_updated", STR),
+    ("points", LONG), ("total_money_used", LONG), ("last_updated", STR),
 )
 EVENT = _struct(("type", STR), ("timestamp", LONG), ("payload", EVENT_PAYLOAD))
 

@@ -73,7 +73,7 @@ def transactions(spark: SparkSession, folder: str, with_store: bool = True) -> D
         payment.alias("payment_method"),
         F.lit(0).cast("decimal(5,2)").alias("discount"),
         amount.alias("final_amount"),
-        F.floor(amount / 10000).cast("int").alias("point_changed"),
+        F.floor(amount / 10000).cast("long").alias("point_changed"),
     ]
     if with_store:
         customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -90,7 +90,7 @@ def transaction_items(spark: SparkSession, folder: str) -> DataFrame:
     return summed.select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("_quantity").cast("int").alias("quantity"),
+        F.col("_quantity").cast("long").alias("quantity"),
     )
 
 
@@ -159,7 +159,7 @@ def loyalty(spark: SparkSession, folder: str) -> DataFrame:
         transactions(spark, folder, with_store=False)
         .groupBy("customer_id")
         .agg(
-            F.sum("point_changed").cast("int").alias("point"),
+            F.sum("point_changed").cast("long").alias("point"),
             F.floor(F.sum("final_amount")).cast("long").alias("total_money_used"),
             F.max("created_at").alias("last_updated"),
         )
@@ -174,7 +174,7 @@ def accrual_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Purchase events as points accruals."""
     return table(spark, folder, "events").where("event_type = 'purchase'").select(
         F.col("user_id").cast("string").alias("customer_id"),
-        F.floor("value").cast("int").alias("earned_point"),
+        F.floor("value").cast("long").alias("earned_point"),
         F.floor(F.col("value") * 10000).cast("long").alias("amount"),
         F.col("ts").alias("requested_at"),
     )
@@ -240,7 +240,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("store-1").alias("store_id"),
         F.when(signup, F.concat(F.lit("User "), F.col("event_id").cast("string"))).alias("name"),
         F.when(signup, iso_text(F.col("ts"))).alias("join_date"),
-        F.when(purchase, F.floor("value").cast("int")).alias("points"),
+        F.when(purchase, F.floor("value").cast("long")).alias("points"),
         F.when(purchase, F.floor(F.col("value") * 10000).cast("long")).alias("total_money_used"),
         F.when(purchase, iso_text(F.col("ts"))).alias("last_updated"),
     )

@@ -53,7 +53,7 @@ def without_repeats(
 def accrued_points(deltas: DataFrame) -> DataFrame:
     """Sums of earned points and money per customer, and the time of the last one."""
     return deltas.groupBy("customer_id").agg(
-        F.sum(F.coalesce("earned_point", F.lit(0))).cast("int").alias("point"),
+        F.sum(F.coalesce("earned_point", F.lit(0))).cast("long").alias("point"),
         F.sum(F.coalesce("amount", F.lit(0))).cast("long").alias("total_money_used"),
         F.max("ts").alias("last_updated"),
     )
