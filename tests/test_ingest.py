@@ -64,6 +64,15 @@ def test_transactions_without_items_keep_null_slots(spark):
     assert [tuple(r)[8:] for r in wide.collect()] == [(None,) * 4] * 5
 
 
+def test_slots_follow_the_data_up_to_a_limit(spark):
+    assert ingest.slots_needed(items(spark), BY_ID) == 3
+    assert ingest.slots_needed(items(spark), BY_ID, at_least=20) == 20
+    assert ingest.slots_needed(items(spark).where("false"), BY_ID) == 1
+    endless = spark.range(1000).selectExpr("1 AS transaction_id", "id AS product_id")
+    with pytest.raises(ValueError, match="1000 items"):
+        ingest.slots_needed(endless, BY_ID)
+
+
 def test_a_basket_wider_than_the_slots_fails_the_job(spark):
     with pytest.raises(Exception, match="more than 2 items"):
         ingest.wide_orders(transactions(spark), items(spark), 2, BY_ID).collect()

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tillwright.operators import ingest, keys, pages, quality, snapshots
+from tillwright.operators import facts, ingest, keys, pages, quality, snapshots
 from tillwright.plans.catalog import QUERIES
 from tillwright.sources import sample_tables as sample
 
@@ -62,6 +62,40 @@ def test_a_hot_key_in_a_lookup_is_split_at_run_time(spark, conf):
     assert facts.count() == 60_000
 
 
+def test_a_transaction_with_a_third_of_all_items_becomes_facts(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50kb",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100kb",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__shuffle__partitions="8",
+    )
+    n = 60_000
+    items = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
+        .alias("transaction_id"),
+        F.col("id").cast("string").alias("product_id"),
+        F.lit(1).alias("quantity"),
+    )
+    heads = spark.range(-1, 5000).select(
+        F.lit("s").alias("store_name"), F.col("id").alias("transaction_id"),
+        F.col("id").alias("employee_id"), F.col("id").cast("string").alias("customer_id"),
+        F.current_timestamp().alias("created_at"), F.lit("cash").alias("payment_method"),
+        F.lit(0).alias("discount"), F.lit(1).alias("final_amount"), F.lit(1).alias("point_changed"),
+    )
+    none = {
+        "store": "store_id string, store_key long",
+        "employee": "employee_id long, employee_key long, is_current int",
+        "customer": "customer_id string, customer_key long",
+        "product": "product_id string, product_key long",
+    }
+    dims = [spark.createDataFrame([], schema) for schema in none.values()]
+    fact = facts.fact_of_items(heads, items, *dims, keys=("transaction_id",))
+    assert "skew=true" in final_plan(fact).split("Initial Plan")[0]
+    assert fact.where("transaction_id = -1").count() == n / 3
+
+
 def test_hot_group_ranking_costs_nothing_when_no_group_is_hot(spark):
     items = sample.transaction_items(spark, FOLDER)
     plan = final_plan(ingest.rank_items(items, ("transaction_id",)))

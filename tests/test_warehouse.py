@@ -100,6 +100,14 @@ def test_dimensions_have_their_declared_columns(spark, dims):
     assert calendar.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.DIM_DATE]
 
 
+def test_both_ways_to_the_fact_agree(spark, dims, rows):
+    heads = transactions(spark).withColumn("store_name", F.lit("store-1"))
+    direct = facts.fact_of_items(heads, items(spark), *dims, keys=BY_ID)
+    wide = seed_fact(spark, dims)
+    assert direct.columns == wide.columns
+    assert rows(direct) == rows(wide)
+
+
 def test_null_points_count_as_zero(spark, dims):
     unset = transactions(spark).withColumn("point_changed", F.lit(None).cast("int"))
     wide = ingest.wide_orders(unset, items(spark), 3, BY_ID)

@@ -13,6 +13,8 @@ from tillwright.operators.skew import MIN_HOT_ROWS, row_number_in_groups
 
 ORDER_KEYS = ("store_name", "transaction_id")
 DEFAULT_SLOTS = 20
+# The planner cuts ranked groups before the shuffle up to a limit of 1,000 rows.
+MAX_SLOTS = 999
 
 
 def aged_transactions(
@@ -50,10 +52,19 @@ def rank_items(
     return row_number_in_groups(items, keys, "product_id", name, min_rows=min_hot_rows)
 
 
-def basket_width(items: DataFrame, keys: Sequence[str] = ORDER_KEYS) -> int:
-    """Items in the largest transaction: the slots a wide order table needs."""
+def slots_needed(
+    items: DataFrame, keys: Sequence[str] = ORDER_KEYS, at_least: int = 1
+) -> int:
+    """Items in the largest transaction: the slots a wide order table needs.
+
+    A table with more than ``MAX_SLOTS`` is refused. Facts do not need it: they can
+    be made from item rows, whatever the size of a transaction.
+    """
     widest = items.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return int(widest["n"] or 0)
+    slots = max(at_least, int(widest["n"] or 0))
+    if slots > MAX_SLOTS:
+        raise ValueError(f"a transaction has {slots} items; wide orders take {MAX_SLOTS}")
+    return slots
 
 
 def _gathered(
@@ -113,9 +124,9 @@ def wide_orders(
 ) -> DataFrame:
     """Transactions with their items in slots; those without items keep null slots.
 
-    ``slots=None`` counts the widest basket first. The join keeps only items of the
-    given transactions, so no semi-join comes before it.
+    ``slots=None`` counts the widest basket of these transactions first. The join
+    keeps only their items, so no semi-join comes before it.
     """
     if slots is None:
-        slots = basket_width(items_of(items, transactions, keys), keys)
+        slots = slots_needed(items_of(items, transactions, keys), keys)
     return transactions.join(pivot_items(items, slots, keys), list(keys), "left")

@@ -54,10 +54,13 @@ def _aged(spark, folder, as_of=AS_OF, with_store=True):
     return ingest.aged_transactions(sample.transactions(spark, folder, with_store), as_of)
 
 
-def _wide(spark, folder, as_of=AS_OF):
-    return ingest.wide_orders(
-        _aged(spark, folder, as_of), sample.transaction_items(spark, folder), keys=BY_ORDER
-    )
+def _slots(items):
+    return ingest.slots_needed(items, BY_ORDER, at_least=ingest.DEFAULT_SLOTS)
+
+
+def _wide(spark, folder):
+    items = sample.transaction_items(spark, folder)
+    return ingest.wide_orders(_aged(spark, folder), items, _slots(items), BY_ORDER)
 
 
 # --- ingest --------------------------------------------------------------------
@@ -109,7 +112,7 @@ def lake_raw_orders(spark, folder):
     for name, rows in (("transactions", placed.drop("store_name")), ("transaction_item", items)):
         rows.write.parquet(f"{base}/pos/{name}")
     stores = [Store("store-1", f"{base}/pos"), Store("store-2", f"{base}/pos")]
-    snapshot = weekly_ingest.run(spark, stores, f"{base}/lake", AS_OF)
+    snapshot = weekly_ingest.run(spark, stores, f"{base}/lake", AS_OF, _slots(items))
     return weekly_ingest.raw_orders(spark, f"{base}/lake", snapshot)
 
 
@@ -166,13 +169,16 @@ def _dim_customer(spark, folder):
     return dimensions.dim_customer(sample.customers(spark, folder), _tiered(spark, folder))
 
 
+def _dims(spark, folder):
+    return [d(spark, folder) for d in (_dim_store, _dim_employee, _dim_customer, _dim_product)]
+
+
 def _fact_sales(spark, folder):
-    return facts.fact_sales(
-        _wide(spark, folder),
-        _dim_store(spark, folder),
-        _dim_employee(spark, folder),
-        _dim_customer(spark, folder),
-        _dim_product(spark, folder),
+    return facts.fact_of_items(
+        _aged(spark, folder),
+        sample.transaction_items(spark, folder),
+        *_dims(spark, folder),
+        keys=BY_ORDER,
     )
 
 
@@ -225,6 +231,11 @@ def fact_sales(spark, folder):
     return _fact_sales(spark, folder)
 
 
+@query
+def fact_sales_from_wide(spark, folder):
+    return facts.fact_sales(_wide(spark, folder), *_dims(spark, folder))
+
+
 @query
 def fact_point_transaction(spark, folder):
     return facts.fact_point_transaction(
@@ -236,10 +247,11 @@ def fact_point_transaction(spark, folder):
 def idempotent_append(spark, folder):
     """Item rows loaded from an early, a late and again the late snapshot."""
     path = shared_folder(spark, "facts")
+    items = sample.transaction_items(spark, folder)
     for moment in (EARLIER, AS_OF, AS_OF):
         month = month_bucket(F.col("created_at")).alias("month")
         warehouse.append_facts(
-            reshape.long_orders(_wide(spark, folder, moment)).select("*", month),
+            _aged(spark, folder, moment).join(items, [*BY_ORDER]).select("*", month),
             path,
             ("transaction_id", "product_id"),
             ("store_name", "created_at"),

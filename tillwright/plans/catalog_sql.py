@@ -266,6 +266,7 @@ SELECT (SELECT max(employee_key) FROM dim_employee)
        CAST(1 AS SMALLINT)
 FROM dim_employee WHERE salary < 0""",
     "fact_sales": f"{_with(*_WAREHOUSE)} SELECT * EXCLUDE (amount) FROM fact",
+    "fact_sales_from_wide": f"{_with(*_WAREHOUSE)} SELECT * EXCLUDE (amount) FROM fact",
     "fact_point_transaction": f"""{_with(*_WAREHOUSE)}
 SELECT sha256(store_name || ':' || CAST(transaction_id AS VARCHAR)) AS transaction_key,
        COALESCE(customer_key, 0) AS customer_key, COALESCE(store_key, 0) AS store_key,
