@@ -173,15 +173,6 @@ def _dims(spark, folder):
     return [d(spark, folder) for d in (_dim_store, _dim_employee, _dim_customer, _dim_product)]
 
 
-def _fact_sales(spark, folder):
-    return facts.fact_of_items(
-        _aged(spark, folder),
-        sample.transaction_items(spark, folder),
-        *_dims(spark, folder),
-        keys=BY_ORDER,
-    )
-
-
 @query
 def dim_store(spark, folder):
     return _dim_store(spark, folder)
@@ -228,7 +219,12 @@ def employee_history(spark, folder):
 
 @query
 def fact_sales(spark, folder):
-    return _fact_sales(spark, folder)
+    return facts.fact_of_items(
+        _aged(spark, folder),
+        sample.transaction_items(spark, folder),
+        *_dims(spark, folder),
+        keys=BY_ORDER,
+    )
 
 
 @query
@@ -519,14 +515,20 @@ def heading_fill(spark, folder):
 # --- reports ---------------------------------------------------------------------------------
 
 
+def _sales(spark, folder):
+    """What reports use of the sales fact: item rows with the transaction's measures."""
+    rows = _aged(spark, folder).join(sample.transaction_items(spark, folder), [*BY_ORDER])
+    return rows.withColumn("month", month_bucket(F.col("created_at")))
+
+
 @query
 def sales_by_store_month(spark, folder):
-    return reports.sales_by_store_month(_fact_sales(spark, folder))
+    return reports.sales_by_store_month(_sales(spark, folder))
 
 
 @query
 def top_products(spark, folder):
-    return reports.top_products(_fact_sales(spark, folder))
+    return reports.top_products(_sales(spark, folder))
 
 
 @query
