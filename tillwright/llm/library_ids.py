@@ -57,26 +57,35 @@ class WordIds:
         """Ids of a word of Latin letters, which the library never splits before its model."""
         if not self.blank:
             word = word.lower()
-        raw = (self.blank + word).encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        elif word[0] == "\n":
+            word = word[1:]
+        else:
+            word = " " + word
+        raw = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
         return np.array([token.id for token in self.model.tokenize(raw)], self.dtype).tobytes()
 
     def _learn(self, words: set[str]) -> None:
         known, others = self.known, []
         for word in words:
             # A word at the edge of a longer run of white space stands for nothing alone.
-            if self.blank and (not word or word[0].isspace() or word[-1].isspace()):
+            shown = word[1:] if self.blank and word[:1] == "\n" else word
+            if self.blank and (not shown or shown[0].isspace() or shown[-1].isspace()):
                 known[word] = ASK_WHOLE
                 continue
             letters = word.rstrip(".,")
-            if not letters.isalpha() or max(letters) > LAST_LATIN:
+            if not (only := letters[len(word) - len(shown) :]).isalpha() or max(only) > LAST_LATIN:
                 others.append(word)
                 continue
             ids = known.get(letters)
             if ids is None:
-                ids = known[letters] = self._letters(letters)
+                ids = self._letters(letters)
+                if self.blank and word[0] == "\n":
+                    ids = self._tail("\n") + ids
+                known[letters] = ids
             if len(letters) < len(word):
                 known[word] = ids + self._tail(word[len(letters) :])
-        known.update(zip(others, self._whole([self.blank + word for word in others]), strict=True))
+        whole = [word if word[:1] == "\n" else self.blank + word for word in others]
+        known.update(zip(others, self._whole(whole), strict=True))
 
     def _tail(self, marks: str) -> bytes:
         ids = self.tails.get(marks)
@@ -86,8 +95,9 @@ class WordIds:
 
     def _words(self, text: str) -> list[str]:
         if self.blank:
-            # The first word has no blank before it and is asked for by itself.
-            return text.split(" ")[1:]
+            # The first word has no blank before it and is asked for by itself; a line
+            # feed between two words stands for the blank.
+            return text.replace("\n", " \n").split(" ")[1:]
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
@@ -105,17 +115,18 @@ class WordIds:
                 self._learn(unseen)
                 known = self.known
                 found = [known[word] if ids is None else ids for word, ids in zip(flat, found, strict=True)]
-            heads = self._whole([text.partition(" ")[0] for text in chunk]) if self.blank else None
+            heads = [text.partition(" ")[0].partition("\n")[0] for text in chunk] if self.blank else []
+            first = self._whole(heads)
             begin = 0
             for i, (text, own) in enumerate(zip(chunk, words, strict=True)):
                 ids = found[begin : begin + len(own)]
                 begin += len(own)
                 if not self.blank:
                     yield b"".join(ids)
-                elif ASK_WHOLE in ids or text[:1].isspace() or text.partition(" ")[0][-1:].isspace():
+                elif ASK_WHOLE in ids or not heads[i] or heads[i][0].isspace() or heads[i][-1].isspace():
                     yield self._whole([text])[0]
                 else:
-                    yield heads[i] + b"".join(ids)
+                    yield first[i] + b"".join(ids)
 
 
 @cache

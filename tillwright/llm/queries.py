@@ -4,24 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.llm.byte_bpe import digests, map_encoded
 from tillwright.llm.common import table
 from tillwright.llm.grid_join import near_duplicate_vectors
+from tillwright.llm.packing import pack_documents
+from tillwright.llm.token_files import token_file_report
 from tillwright.llm.va_file import exact_top_k
+from tillwright.llm.warc import archive_report
 
 
 def op1_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(spark, table(spark, sf_dir, "pages"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_file_report(table(spark, sf_dir, "documents"), path, end_id=0)
+
+
 def op8_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), path, end_id=2)
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_encoded(table(spark, sf_dir, "documents"), path, digests, columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_grid_join, op8_va_file)
+    f.__name__: f
+    for f in (op1_grid_join, op3_warc, op4_token_files, op8_va_file, op9_packing, op10_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {
@@ -42,6 +68,20 @@ ORACLES: dict[str, str] = {
             component_id, v.vec_id = component_id AS kept
         FROM v JOIN component USING (vec_id)
     """,
+    "op3_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, strlen(payload) AS payload_bytes,
+                sha1(payload) AS payload_digest
+            FROM pages
+        ), judged AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id < largest
+                THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+        FROM judged
+    """,
     "op8_va_file": """
         WITH v AS (
             SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e
