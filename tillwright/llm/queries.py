@@ -13,6 +13,7 @@ from tillwright.llm.common import table
 from tillwright.llm.grid_join import near_duplicate_vectors
 from tillwright.llm.packing import pack_documents
 from tillwright.llm.token_files import token_file_report
+from tillwright.llm.trie_join import similar_documents
 from tillwright.llm.va_file import exact_top_k
 from tillwright.llm.warc import archive_report
 
@@ -21,6 +22,10 @@ def op1_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op2_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), words=4, least=85, scale=100)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(spark, table(spark, sf_dir, "pages"))
 
@@ -47,7 +52,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_grid_join, op3_warc, op4_token_files, op8_va_file, op9_packing, op10_byte_bpe)
+    for f in (
+        op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op8_va_file, op9_packing, op10_byte_bpe,
+    )
 }
 
 ORACLES: dict[str, str] = {
