@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tillwright.llm.byte_bpe import digests, map_encoded
 from tillwright.llm.common import table
 from tillwright.llm.grid_join import near_duplicate_vectors
+from tillwright.llm.line_dedup import drop_repeated_lines
 from tillwright.llm.packing import pack_documents
 from tillwright.llm.token_files import token_file_report
+from tillwright.llm.toxicity import toxicity_report
 from tillwright.llm.trie_join import similar_documents
 from tillwright.llm.va_file import exact_top_k
 from tillwright.llm.warc import archive_report
@@ -35,6 +37,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"), path, end_id=0)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), similarity=0.8)
+
+
 def op8_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -53,7 +63,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op8_va_file, op9_packing, op10_byte_bpe,
+        op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op5_toxicity, op6_line_dedup,
+        op8_va_file, op9_packing, op10_byte_bpe,
     )
 }
 
