@@ -12,6 +12,7 @@ from tillwright.llm.byte_bpe import digests, map_encoded
 from tillwright.llm.common import table
 from tillwright.llm.grid_join import near_duplicate_vectors
 from tillwright.llm.line_dedup import drop_repeated_lines
+from tillwright.llm.ngram_trie import language_model_report
 from tillwright.llm.packing import pack_documents
 from tillwright.llm.token_files import token_file_report
 from tillwright.llm.toxicity import toxicity_report
@@ -45,6 +46,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf_dir, "documents"), similarity=0.8)
 
 
+def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_report(table(spark, sf_dir, "documents"))
+
+
 def op8_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -64,7 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op5_toxicity, op6_line_dedup,
-        op8_va_file, op9_packing, op10_byte_bpe,
+        op7_ngram_trie, op8_va_file, op9_packing, op10_byte_bpe,
     )
 }
 
