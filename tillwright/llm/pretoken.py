@@ -181,7 +181,7 @@ def pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     base = np.cumsum(sizes + 1) - sizes - 1
     counts = np.diff(first)
     # A piece ends where the next one of its text starts, the last one where the text ends.
-    ends = np.append(at[1:], len(joined))
+    ends = np.append(at[1:], len(joined))[: len(at)]
     ends[first[1:][counts > 0] - 1] = (base + sizes)[counts > 0]
     cut = [joined[a:b] for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
     return cut, at - np.repeat(base, counts), first
