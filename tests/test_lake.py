@@ -11,8 +11,8 @@ from tillwright.plans import warehouse_load, weekly_ingest
 from tillwright.session import shared_folder
 from tillwright.operators.facts import dropped_transactions
 from tillwright.operators.ingest import wide_orders
-from tillwright.sinks.lake import export_table, write_csv, write_raw
-from tillwright.sources.snapshots import missing_inputs, raw_orders, staged
+from tillwright.sinks.lake import export_table, write_csv, write_raw, write_staged
+from tillwright.sources.snapshots import missing_inputs, raw_orders, require_inputs, staged
 from tillwright.sources.tables import Store, partitioned_jdbc, read_csv, read_stores, read_table
 
 AS_OF = datetime(2025, 11, 8, 11, 10)
@@ -122,3 +122,30 @@ def test_csv_with_and_without_a_mark(spark, tmp_path, rows):
     marked = tmp_path / "marked.csv"
     marked.write_text('id,product_name,price\nA,"vỉ 2 cái, ""to""",5\n', encoding="utf-8-sig")
     assert rows(read_csv(spark, str(marked), schemas.PRODUCTS)) == [("A", 'vỉ 2 cái, "to"', 5)]
+
+
+def test_a_second_run_loses_what_a_store_no_longer_delivers(spark, rows, tmp_path):
+    lake, stores = str(tmp_path / "lake"), ["a", "b"]
+    make = lambda *data: spark.createDataFrame(list(data), "transaction_id int, store_name string")
+    write_staged(make((1, "a"), (2, "b")), lake, "transactions", "2025_01_01", stores)
+    write_staged(make((9, "b")), lake, "transactions", "2025_02_01", stores)
+    write_staged(make((1, "a")), lake, "transactions", "2025_01_01", stores)
+    assert rows(staged(spark, lake, "transactions", "2025_01_01"), "transaction_id") == [(1,)]
+    assert rows(staged(spark, lake, "transactions", "2025_02_01"), "transaction_id") == [(9,)]
+    missing = lambda s: rows(missing_inputs(spark, lake, stores, s, ["transactions"]), "store_name")
+    assert missing("2025_01_01") == missing("2025_02_01") == []
+
+
+def test_lost_and_unknown_inputs_are_missing(spark, rows, tmp_path):
+    import shutil
+
+    lake = str(tmp_path / "lake")
+    with pytest.raises(FileNotFoundError):
+        require_inputs(spark, lake, ["a"], "2025_01_01")
+    make = lambda *data: spark.createDataFrame(list(data), "transaction_id int, store_name string")
+    write_staged(make((1, "a"), (2, "b")), lake, "transactions", "2025_01_01", ["a", "b", "c"])
+    shutil.move(
+        f"{lake}/staging/transactions/snapshot_date=2025_01_01/store_name=b", str(tmp_path / "lost")
+    )
+    gone = missing_inputs(spark, lake, ["a", "b", "c", "d"], "2025_01_01", ["transactions"])
+    assert rows(gone, "store_name") == [("b",), ("d",)]

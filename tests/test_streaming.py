@@ -132,17 +132,12 @@ def test_accrual_stream_equals_the_batch_and_ignores_repeats(spark, rows, topic,
     first = [moved(f"c{i % 7}", i, i * 10, at(i)) for i in range(40)]
     second = [moved(f"c{i % 7}", i, i * 10, at(i)) for i in range(30, 80)]
     stream = events.parse_events(topic(first, second, first[:5] + second[:5])).valid
-    deltas = state.without_repeats(stream, "1 day").select(
-        "customer_id", "ts", F.col("points").alias("earned_point"),
-        F.col("total_money_used").alias("amount"),
-    )
     tiers = spark.createDataFrame(
         [("bronze", 0, None, None), ("silver", 450, None, None)], schemas.LOYALTY_TIER
     )
-    kept = settle(
-        spark, tmp_path, state.accrued_points(deltas),
-        finish=lambda changed: loyalty.assign_tiers(changed, tiers),
-    )
+    path = str(tmp_path / "accrual")
+    state.accrue_once(stream, path, str(tmp_path / "check")).awaitTermination(120)
+    kept = loyalty.assign_tiers(state.accrued_totals(spark, path), tiers)
     requests = spark.createDataFrame(
         [(f"c{i % 7}", i, i * 10, at(i)) for i in range(80)],
         "customer_id string, earned_point int, amount long, requested_at timestamp",
@@ -153,6 +148,34 @@ def test_accrual_stream_equals_the_batch_and_ignores_repeats(spark, rows, topic,
     assert rows(kept, *columns) == rows(batch, *columns)
 
 
+def test_late_and_same_instant_purchases_count_and_repeats_never(spark, rows, topic, tmp_path):
+    late = moved("c", 1, 10, at(-60 * 24 * 90))
+    stream = events.parse_events(
+        topic(
+            [moved("c", 2, 20, at(0)), moved("c", 3, 30, at(0)), moved("d", 1, 1, at(1))],
+            [moved("c", 2, 20, at(0)), moved("d", 1, 1, at(60 * 24 * 30))],
+            [late, moved("c", 3, 30, at(0)), late, named("c", "An", at(5))],
+            [late],
+        )
+    ).valid
+    path = str(tmp_path / "accrual")
+    state.accrue_once(stream, path, str(tmp_path / "check")).awaitTermination(120)
+    assert rows(state.accrued_totals(spark, path)) == [
+        ("c", 6, 60, at(0)), ("d", 2, 2, at(60 * 24 * 30))
+    ]
+
+
+def test_a_batch_run_again_adds_nothing(spark, rows, tmp_path):
+    schema = "customer_id string, type string, ts timestamp, points long, total_money_used long"
+    make = lambda *data: spark.createDataFrame(list(data), schema)
+    one, two = ("c", "x", at(0), 1, 10), ("c", "x", at(1), 2, 20)
+    log = str(tmp_path / "seen")
+    for batch_id, batch, want in ((0, (one, one), 1), (1, (one, two), 1), (1, (one, two), 1), (2, (two,), 0)):
+        fresh = state.fresh_events(make(*batch), log, batch_id).persist()
+        assert fresh.count() == want
+        state._note(fresh, log, batch_id)
+
+
 def test_state_log_can_be_compacted_and_batches_replaced(spark, rows, tmp_path):
     log, small = str(tmp_path / "log"), str(tmp_path / "small")
     make = lambda *data: spark.createDataFrame(list(data), "customer_id string, points int")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F, types as T
 from seed import items, products, transactions
 
 from tillwright import schemas
+from tillwright.functions.identity import row_identity
 from tillwright.operators import dimensions, facts, ingest, keys, snapshots
 from tillwright.plans import reports
 from tillwright.sinks import warehouse
@@ -184,3 +185,40 @@ def test_employee_history(spark, rows):
     assert sorted(r.employee_key for r in after.collect()) == [1, 2, 3, 4]
     again = dimensions.refresh_employees(after, changed, s)
     assert rows(again) == rows(after)
+
+
+def test_a_load_holds_each_key_once_with_nulls_and_without_dates(spark, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    schema = (
+        "store_name string, transaction_id int, product_id string, store_key long, date_key int, "
+        "created_at timestamp, quantity int, month int"
+    )
+    one = ("s", 1, "A", 1, 20251101, datetime(2025, 11, 1), 1, 202511)
+    null_store = (None, 2, "A", 0, 20251101, datetime(2025, 11, 1), 1, 202511)
+    undated = ("s", 3, "A", 1, None, None, 1, None)
+    batch = spark.createDataFrame([one, one, null_store, undated], schema)
+    for _ in range(3):
+        warehouse.append_facts(batch, path)
+    loaded = rows(spark.read.parquet(path), "store_name", "transaction_id", "product_id")
+    assert loaded == sorted([("s", 1, "A"), ("s", 3, "A"), (None, 2, "A")], key=repr)
+
+
+def test_identities_never_run_into_each_other(spark):
+    parts = [("a:b", "c"), ("a", "b:c"), ("a", None), (None, "a"), ("", "a"), (None, None), ("-", "1:a")]
+    df = spark.createDataFrame(parts, "x string, y string")
+    assert df.select(row_identity(F.col("x"), F.col("y"))).distinct().count() == len(parts)
+
+
+def test_lookups_compare_in_the_type_of_the_dimension(spark, rows):
+    members = spark.createDataFrame([(7, 1), (8, 2)], "employee_id int, employee_key long")
+    given = spark.createDataFrame([(7.0,), (7.5,), (8.0,), (None,)], "employee_id double")
+    found = keys.lookup_key(given.withColumnRenamed("employee_id", "e"), members, "e", "employee_id", "employee_key")
+    assert rows(found) == sorted([(7.0, 1), (7.5, 0), (8.0, 2), (None, 0)], key=repr)
+    texts = spark.createDataFrame([("8",), ("x",)], "e string")
+    assert rows(keys.lookup_key(texts, members, "e", "employee_id", "employee_key")) == [("8", 2), ("x", 0)]
+
+
+def test_a_member_listed_twice_has_one_key(spark, rows):
+    listed = spark.createDataFrame([("p", 5), ("p", 4), ("q", 1)], "product_id string, price int")
+    keyed = keys.assign_keys(listed, ["product_id"], "product_key")
+    assert rows(keyed, "product_id", "price") == [("p", 4), ("q", 1)]

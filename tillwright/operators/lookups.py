@@ -6,17 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A list longer than this is joined and not written into the filter.
-MAX_LISTED_IDS = 1_000
-
-
 def rows_with_ids(rows: DataFrame, column: str, ids: Sequence) -> DataFrame:
-    """Rows whose key is in a list; an empty list gives none."""
-    if len(ids) <= MAX_LISTED_IDS:
-        return rows.where(F.col(column).isin(list(ids)))
-    kind = rows.schema[column].dataType.simpleString()
-    wanted = rows.sparkSession.createDataFrame([(i,) for i in ids], f"{column} {kind}")
-    return rows.join(wanted, column, "left_semi")
+    """Rows whose key is in a list; an empty list gives none.
+
+    Ids are read as the type of the column; one that cannot be is in no row.
+    """
+    texts = [(None if i is None else str(i),) for i in ids]
+    wanted = rows.sparkSession.createDataFrame(texts, "_id string")
+    kind = rows.schema[column].dataType
+    return rows_requested(rows, column, wanted.select(F.col("_id").try_cast(kind)))
 
 
 def rows_requested(rows: DataFrame, column: str, requests: DataFrame) -> DataFrame:

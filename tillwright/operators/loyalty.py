@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillwright.operators.orders import Split, first_reason, split_on_reason
 
-# Tiers up to this number are searched as one sorted array in each row.
-MAX_LADDER_TIERS = 1_000
-# Points per block of the joined search: a million blocks reach a trillion points.
-POINT_BLOCK = 1_000_000
-
 
 def judge_customer_requests(requests: DataFrame) -> Split:
     """Create-or-update requests; those without id or name are rejected."""
@@ -85,66 +80,16 @@ def accrue_points(
     )
 
 
-def assign_tiers(
-    customers: DataFrame,
-    tiers: DataFrame,
-    point: str = "point",
-    max_ladder: int = MAX_LADDER_TIERS,
-) -> DataFrame:
+def assign_tiers(customers: DataFrame, tiers: DataFrame, point: str = "point") -> DataFrame:
     """Set ``tier`` to the one with the greatest ``min_point`` not above the points.
 
-    The ladder is measured first. A short one becomes an array that each row
-    searches, which moves no customer rows; a long one is joined.
+    The ladder is one sorted array, a value that every row searches, so no customer row
+    is moved. Tiers without a threshold are never reached; of equal thresholds the last
+    name counts.
     """
     columns = [c for c in customers.columns if c != "tier"]
-    steps = tiers.select("min_point", "tier").limit(max_ladder + 1).collect()
-    if len(steps) <= max_ladder:
-        return customers.select(*columns, _tier_in_place(steps, F.col(point)).alias("tier"))
-    return _tier_by_join(customers.select(*columns), tiers, point)
-
-
-def _tier_in_place(steps: list, points: Column) -> Column:
-    if not steps:
-        return F.lit(None).cast("string")
-    ladder = F.array(
-        *[
-            F.struct(F.lit(step["min_point"]).alias("min_point"), F.lit(step["tier"]).alias("tier"))
-            for step in sorted(steps)
-        ]
-    )
-    reached = F.filter(ladder, lambda step: step["min_point"] <= points)
-    return F.try_element_at(reached, F.lit(-1))["tier"]
-
-
-def _tier_by_join(customers: DataFrame, tiers: DataFrame, point: str) -> DataFrame:
-    """Carry the last threshold forward over the distinct point values, by block.
-
-    Inside a block the carry is a window; a block that starts above its own first
-    threshold takes the best tier of the blocks before it. Values are distinct, so a
-    block holds no more rows than its width.
-    """
-    value, step = F.col("_value"), F.col("_step")
-    steps = tiers.groupBy(F.col("min_point").alias("_value")).agg(
-        F.max(F.struct("min_point", "tier")).alias("_step")
-    )
-    values = customers.select(F.col(point).alias("_value")).where(value.isNotNull()).distinct()
-    marks = (
-        values.join(steps, "_value", "full_outer")
-        .withColumn("_block", F.floor(value / POINT_BLOCK))
-    )
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        marks.groupBy("_block")
-        .agg(F.max("_step").alias("_best"))
-        .withColumn("_carried", F.max("_best").over(earlier))
-        .select("_block", "_carried")
-    )
-    upto = Window.partitionBy("_block").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    reached = (
-        marks.withColumn("_here", F.last(step, ignorenulls=True).over(upto))
-        .join(carried, "_block")
-        .select("_value", F.coalesce("_here", "_carried")["tier"].alias("tier"))
-    )
-    return customers.join(reached, customers[point] == reached["_value"], "left").drop("_value")
+    steps = tiers.where("min_point IS NOT NULL")
+    ladder = steps.agg(F.sort_array(F.collect_list(F.struct("min_point", "tier")))).scalar()
+    reached = F.filter("_ladder", lambda step: step["min_point"] <= F.col(point))
+    held = customers.withColumn("_ladder", ladder)
+    return held.select(*columns, F.try_element_at(reached, F.lit(-1))["tier"].alias("tier"))

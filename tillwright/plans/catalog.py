@@ -422,18 +422,8 @@ def stream_accrual(spark, folder):
         T.StructType().add("value", "string"),
     )
     delivered = stream.unionByName(event_stream.parse_events(again).valid)
-    deltas = (
-        state.without_repeats(delivered, "60 days")
-        .where("points IS NOT NULL")
-        .select(
-            "customer_id",
-            "ts",
-            F.col("points").alias("earned_point"),
-            F.col("total_money_used").alias("amount"),
-        )
-    )
-    kept = _settled(spark, base, state.accrued_points(deltas))
-    return _ntz(kept, "last_updated")
+    state.accrue_once(delivered, f"{base}/accrual", f"{base}/checkpoint").awaitTermination()
+    return _ntz(state.accrued_totals(spark, f"{base}/accrual"), "last_updated")
 
 
 @query

@@ -108,9 +108,14 @@ dim_customer AS (
          CAST(join_date AS DATE) AS join_date, tier
   FROM customers LEFT JOIN tiered ON id = customer_id)"""
 
+def _identity(*parts: str) -> str:
+    written = (f"coalesce(length({p})::VARCHAR || ':' || {p}, '-')" for p in parts)
+    return f"sha256({' || '.join(written)})"
+
+
 _FACT = f"""
 fact AS (
-  SELECT sha256(concat_ws(':', f.store_name, CAST(transaction_id AS VARCHAR), f.product_id))
+  SELECT {_identity("f.store_name", "CAST(transaction_id AS VARCHAR)", "f.product_id")}
            AS sales_key,
          CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_key,
          COALESCE(s.store_key, 0) AS store_key, COALESCE(e.employee_key, 0) AS employee_key,
@@ -268,7 +273,7 @@ FROM dim_employee WHERE salary < 0""",
     "fact_sales": f"{_with(*_WAREHOUSE)} SELECT * EXCLUDE (amount) FROM fact",
     "fact_sales_from_wide": f"{_with(*_WAREHOUSE)} SELECT * EXCLUDE (amount) FROM fact",
     "fact_point_transaction": f"""{_with(*_WAREHOUSE)}
-SELECT sha256(store_name || ':' || CAST(transaction_id AS VARCHAR)) AS transaction_key,
+SELECT {_identity("store_name", "CAST(transaction_id AS VARCHAR)")} AS transaction_key,
        COALESCE(customer_key, 0) AS customer_key, COALESCE(store_key, 0) AS store_key,
        CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_key,
        point_changed AS points_changed, created_at AS transaction_time,
@@ -436,7 +441,7 @@ FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
     "stream_sales": f"""{_with(
         _TRANSACTIONS, _DIM_STORE, _STAFF, _DIM_EMPLOYEE, _DIM_PRODUCT, _CUSTOMERS, _LOYALTY,
         _DIM_CUSTOMER, *_ORDERS)}
-SELECT sha256('store-1:' || transaction_id || ':' || l.product_id) AS sales_key,
+SELECT {_identity("'store-1'", "transaction_id", "l.product_id")} AS sales_key,
        CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_key,
        COALESCE(s.store_key, 0) AS store_key, COALESCE(e.employee_key, 0) AS employee_key,
        COALESCE(c.customer_key, 0) AS customer_key, COALESCE(p.product_key, 0) AS product_key,

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillwright.functions.identity import row_identity
 from tillwright.schemas import CUSTOMER_CREATED, CUSTOMER_UPDATED, POINT_UPDATED
 from tillwright.sinks.keyvalue import put_batch
+from tillwright.sources.snapshots import read_or_none
 
 
 def latest_points(events: DataFrame) -> DataFrame:
@@ -40,14 +42,87 @@ def latest_customers(events: DataFrame) -> DataFrame:
     )
 
 
-EVENT_KEY = ("customer_id", "type", "ts")
+# What makes two deliveries the same event; the payload tells events of one instant apart.
+EVENT_KEY = ("customer_id", "type", "ts", "points", "total_money_used")
 
 
-def without_repeats(
-    events: DataFrame, delay: str = "1 hour", keys: Sequence[str] = EVENT_KEY
+def fresh_events(
+    batch: DataFrame, path: str, batch_id: int, keys: Sequence[str] = EVENT_KEY
 ) -> DataFrame:
-    """Drop repeats that arrive within ``delay`` of the newest event."""
-    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+    """Events of a batch that no batch before it had, each once, noted in the log at ``path``.
+
+    The log keeps the identity of every event by its day, and a batch reads the days it
+    has events of, so an event counts once however late it or its repeat comes. A batch
+    that is run again sees the log as it was before it, and so finds the same events.
+    """
+    spark = batch.sparkSession
+    marked = batch.select(
+        "*",
+        row_identity(*[F.col(c) for c in keys]).alias("_event"),
+        F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("none")).alias("_day"),
+    ).dropDuplicates(["_event"])
+    days = [row["_day"] for row in marked.select("_day").distinct().collect()]
+    log = read_or_none(spark.read.schema("_event string, _batch long, _day string"), path)
+    if log is not None:
+        # Days are as many as the calendar has, whatever the number of events.
+        seen = log.where(F.col("_day").isin(days) & (F.col("_batch") < batch_id))
+        marked = marked.join(seen.select("_event"), "_event", "left_anti")
+    return marked
+
+
+def accrue_once(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str] = EVENT_KEY,
+    trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Add the points and money of each purchase event once, whenever it arrives.
+
+    Each batch writes the events it counted and the sums it adds under its own id, in this
+    order of need: sums first, then the log that later batches look at. A batch that failed
+    between the two is run again and replaces both.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bought = batch.where(F.col("type") == POINT_UPDATED)
+        fresh = fresh_events(bought, f"{path}/seen", batch_id, keys).persist()
+        try:
+            deltas = fresh.select(
+                "customer_id", "ts",
+                F.col("points").alias("earned_point"), F.col("total_money_used").alias("amount"),
+            )
+            put_batch(accrued_points(deltas), f"{path}/sums", batch_id)
+            _note(fresh, f"{path}/seen", batch_id)
+        finally:
+            fresh.unpersist()
+
+    return (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def _note(fresh: DataFrame, path: str, batch_id: int) -> None:
+    """Log the events of a batch; partitions of the batch are replaced by its second run."""
+    (
+        fresh.select("_event", "_day", F.lit(batch_id).cast("long").alias("_batch"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_day", "_batch")
+        .parquet(path)
+    )
+
+
+def accrued_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Points, money and last purchase per customer over all batches of :func:`accrue_once`."""
+    return spark.read.parquet(f"{path}/sums").groupBy("customer_id").agg(
+        F.sum("point").cast("long").alias("point"),
+        F.sum("total_money_used").cast("long").alias("total_money_used"),
+        F.max("last_updated").alias("last_updated"),
+    )
 
 
 def accrued_points(deltas: DataFrame) -> DataFrame:
