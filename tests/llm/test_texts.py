@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillwright.llm import ngram_trie, toxicity, trie_join
 from tillwright.llm.components import components
 from tillwright.llm.elias_fano import EliasFano, decode, encode
-from tillwright.llm.line_dedup import block_keys, blocks_for, drop_repeated_lines, simhash
+from tillwright.llm.line_dedup import block_keys, blocks_for, drop_repeated_lines, marked_lines, simhash
 
 SCHEMA = "doc_id long, text string, key int, class string"
 
@@ -132,6 +132,14 @@ def test_simhash(spark, count):
     assert df.select(simhash(F.col("w"))).first()[0] % 2**64 == brute_simhash(words)
 
 
+@pytest.mark.parametrize("count", [5, 300, 32_767, 40_000])
+def test_simhash_by_sums(spark, count):
+    words = [f"v{i % 50 + i % 7}" for i in range(count)]
+    df = spark.createDataFrame([(1, "\n" + " ".join(words) + ".\nfew words")], "_id long, _text string")
+    row = marked_lines(df, 5).select("at._id", "at._at", "size", "bits").collect()
+    assert [(r._id, r._at, r.size, r.bits % 2**64) for r in row] == [(1, 1, len(" ".join(words)), brute_simhash(words))]
+
+
 @pytest.mark.parametrize("blocks", [4, 5, 6])
 def test_blocks_meet_within_three_bits(spark, blocks):
     rng = random.Random(blocks)
