@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from seed import ITEMS, WIDE, items, transactions
 
-from tillwright.operators import ingest
+from tillwright.operators import ingest, reshape
+from tillwright.operators.facts import dropped_transactions
 
 BY_ID = ("transaction_id",)
 
@@ -64,28 +65,31 @@ def test_transactions_without_items_keep_null_slots(spark):
     assert [tuple(r)[8:] for r in wide.collect()] == [(None,) * 4] * 5
 
 
-def test_slots_follow_the_data_up_to_a_limit(spark):
+def test_slots_follow_the_data_up_to_a_width(spark):
     assert ingest.slots_needed(items(spark), BY_ID) == 3
     assert ingest.slots_needed(items(spark), BY_ID, at_least=20) == 20
     assert ingest.slots_needed(items(spark).where("false"), BY_ID) == 1
-    endless = spark.range(1000).selectExpr("1 AS transaction_id", "id AS product_id")
-    with pytest.raises(ValueError, match="1000 items"):
-        ingest.slots_needed(endless, BY_ID)
+    endless = spark.range(1200).selectExpr("1 AS transaction_id", "id AS product_id")
+    assert ingest.slots_needed(endless, BY_ID) == ingest.MAX_SLOTS
 
 
-def test_a_basket_wider_than_the_slots_fails_the_job(spark):
-    with pytest.raises(Exception, match="more than 2 items"):
-        ingest.wide_orders(transactions(spark), items(spark), 2, BY_ID).collect()
+def test_a_basket_wider_than_the_slots_goes_on_in_further_rows(spark, rows):
+    wide = ingest.wide_orders(transactions(spark), items(spark), 2, BY_ID, part="part")
+    parts = rows(wide, "transaction_id", "part")
+    assert parts == [(1, 0), (2, 0), (3, 0), (4, 0), (4, 1), (5, 0)]
+    long = reshape.long_orders(wide.drop("part"))
+    assert rows(long, "transaction_id", "product_id", "quantity") == sorted(ITEMS, key=repr)
+    assert dropped_transactions(wide).first().asDict() == {"transactions": 5, "without_items": 0}
 
 
-def test_young_wide_baskets_do_not_fail_the_job(spark):
-    others = transactions(spark).where("transaction_id <> 4")
-    assert ingest.wide_orders(others, items(spark), 2, BY_ID).count() == 4
-
-
-def test_baskets_are_cut_before_the_shuffle(spark):
-    plan = ingest.pivot_items(items(spark), 5, BY_ID)._jdf.queryExecution().executedPlan()
-    assert plan.toString().count("WindowGroupLimit") == 2
+@pytest.mark.parametrize("slots", [20, None])
+def test_a_basket_of_any_size_keeps_all_its_items(spark, slots):
+    big = spark.range(5000).selectExpr(
+        "1 AS transaction_id", "format_string('p%05d', id) AS product_id", "1 AS quantity"
+    )
+    wide = ingest.wide_orders(transactions(spark), big, slots, BY_ID)
+    long = reshape.long_orders(wide)
+    assert long.select("product_id").distinct().count() == long.count() == 5000
 
 
 def test_rank_orders_by_product_id(spark, rows):

@@ -149,3 +149,19 @@ def test_lost_and_unknown_inputs_are_missing(spark, rows, tmp_path):
     )
     gone = missing_inputs(spark, lake, ["a", "b", "c", "d"], "2025_01_01", ["transactions"])
     assert rows(gone, "store_name") == [("b",), ("d",)]
+
+
+def test_a_basket_of_thousands_goes_through_ingest_and_load(spark, pos, tmp_path):
+    path, lake, stock = str(tmp_path / "pos"), str(tmp_path / "lake"), str(tmp_path / "warehouse")
+    more = spark.range(5000).selectExpr(
+        "1 AS transaction_id", "format_string('x%05d', id) AS product_id", "1 AS quantity"
+    )
+    more.select([F.col(f.name).cast(f.dataType) for f in items(spark).schema]).write.mode(
+        "append"
+    ).parquet(f"{path}/transaction_item")
+    snapshot = weekly_ingest.run(spark, pos[:1], lake, AS_OF)
+    warehouse_load.load_dimensions(spark, stock, masters(spark))
+    for _ in range(2):
+        warehouse_load.load_facts(spark, stock, lake, snapshot)
+    assert spark.read.parquet(f"{stock}/fact_sales").count() == 5011
+    assert spark.read.parquet(f"{stock}/fact_point_transaction").count() == 5

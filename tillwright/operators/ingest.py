@@ -13,7 +13,7 @@ from tillwright.operators.skew import MIN_HOT_ROWS, row_number_in_groups
 
 ORDER_KEYS = ("store_name", "transaction_id")
 DEFAULT_SLOTS = 20
-# The planner cuts ranked groups before the shuffle up to a limit of 1,000 rows.
+# A wide table is no wider than this; what a basket has beyond it goes to further rows.
 MAX_SLOTS = 999
 
 
@@ -55,65 +55,50 @@ def rank_items(
 def slots_needed(
     items: DataFrame, keys: Sequence[str] = ORDER_KEYS, at_least: int = 1
 ) -> int:
-    """Items in the largest transaction: the slots a wide order table needs.
-
-    A table with more than ``MAX_SLOTS`` is refused. Facts do not need it: they can
-    be made from item rows, whatever the size of a transaction.
-    """
+    """Items in the largest transaction, ``MAX_SLOTS`` at most: a width for wide orders."""
     widest = items.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    slots = max(at_least, int(widest["n"] or 0))
-    if slots > MAX_SLOTS:
-        raise ValueError(f"a transaction has {slots} items; wide orders take {MAX_SLOTS}")
-    return slots
-
-
-def _gathered(
-    items: DataFrame, limit: int, keys: Sequence[str], fields: Sequence[str]
-) -> DataFrame:
-    """One row per transaction with its items, ranked by product id, in array ``_b``.
-
-    The bound on the rank lets the planner cut each basket to ``limit + 1`` items
-    before the shuffle, which is one more than fits: a row in that place fails
-    the job, so no item is ever left out.
-    """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("product_id"))
-    gathered = (
-        items.select(*keys, *fields, rank.alias("_rank"))
-        .where(F.col("_rank") <= limit + 1)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("_rank", *fields))).alias("_b"))
-    )
-    overflow = F.raise_error(F.lit(f"a transaction has more than {limit} items; raise the limit"))
-    return gathered.select(
-        *keys, F.when(F.size("_b") > limit, overflow).otherwise(F.col("_b")).alias("_b")
-    )
+    return max(at_least, min(MAX_SLOTS, int(widest["n"] or 0)))
 
 
 def gather_items(
     items: DataFrame,
-    limit: int,
     keys: Sequence[str] = ORDER_KEYS,
     fields: Sequence[str] = ("product_id", "quantity"),
     name: str = "items",
 ) -> DataFrame:
-    """One row per transaction with its items as an array, by product id."""
-    plain = F.transform("_b", lambda entry: F.struct(*[entry[f].alias(f) for f in fields]))
-    return _gathered(items, limit, keys, fields).select(*keys, plain.alias(name))
+    """One row per transaction with its items as an array, by product id.
+
+    For nested documents, which hold a basket whole by their nature.
+    """
+    # The first field orders the array.
+    return items.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
 def pivot_items(
-    items: DataFrame, slots: int = DEFAULT_SLOTS, keys: Sequence[str] = ORDER_KEYS
+    items: DataFrame,
+    slots: int = DEFAULT_SLOTS,
+    keys: Sequence[str] = ORDER_KEYS,
+    part: str = "part",
 ) -> DataFrame:
-    """One row per transaction with columns ``product_id_1, quantity_1, ...``.
+    """Rows with columns ``product_id_1, quantity_1, ...`` for each transaction.
 
-    The place of an item in its array is its rank in the transaction.
+    The place of an item is its rank in the transaction. A basket with more items than
+    slots goes on in further rows, numbered from 0 in column ``part``, so that no row
+    holds more than ``slots`` items and every basket fits.
     """
+    ranked = rank_items(items.select(*keys, "product_id", "quantity"), keys, "_rank")
+    place = F.col("_rank") - 1
+    gathered = (
+        ranked.withColumn(part, F.expr(f"(_rank - 1) DIV {slots}").cast("int"))
+        .groupBy(*keys, part)
+        .agg(F.sort_array(F.collect_list(F.struct(place.alias("_at"), "product_id", "quantity"))).alias("_b"))
+    )
     wide = []
     for slot in range(1, slots + 1):
         product, quantity = slot_columns(slot)
         entry = F.get("_b", F.lit(slot - 1))
         wide += [entry["product_id"].alias(product), entry["quantity"].alias(quantity)]
-    return _gathered(items, slots, keys, ("product_id", "quantity")).select(*keys, *wide)
+    return gathered.select(*keys, part, *wide)
 
 
 def wide_orders(
@@ -121,12 +106,19 @@ def wide_orders(
     items: DataFrame,
     slots: int | None = DEFAULT_SLOTS,
     keys: Sequence[str] = ORDER_KEYS,
+    part: str | None = None,
 ) -> DataFrame:
     """Transactions with their items in slots; those without items keep null slots.
 
-    ``slots=None`` counts the widest basket of these transactions first. The join
-    keeps only their items, so no semi-join comes before it.
+    A transaction with more items than slots has several rows; ``part`` names a column
+    that numbers them from 0. ``slots=None`` counts the widest basket of these
+    transactions first. The join keeps only their items, so no semi-join comes before it.
     """
     if slots is None:
         slots = slots_needed(items_of(items, transactions, keys), keys)
-    return transactions.join(pivot_items(items, slots, keys), list(keys), "left")
+    numbered = part or "_part"
+    wide = transactions.join(pivot_items(items, slots, keys, numbered), list(keys), "left")
+    if part is None:
+        return wide.drop(numbered)
+    # The number stands behind the transaction's own columns.
+    return wide.withColumn(part, F.coalesce(part, F.lit(0)))

@@ -19,3 +19,11 @@ def latest_per_key(
     """
     newest = Window.partitionBy(*keys).orderBy(F.desc(version))
     return rows.withColumn("_r", F.row_number().over(newest)).where("_r = 1").drop("_r")
+
+
+def newest_rows(
+    rows: DataFrame, version: str = "snapshot_date", keys: Sequence[str] = ORDER_KEYS
+) -> DataFrame:
+    """All rows of the newest version per key, for keys that have several rows in one."""
+    newest = Window.partitionBy(*keys).orderBy(F.desc(version))
+    return rows.withColumn("_r", F.rank().over(newest)).where("_r = 1").drop("_r")

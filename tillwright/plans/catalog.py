@@ -54,13 +54,9 @@ def _aged(spark, folder, as_of=AS_OF, with_store=True):
     return ingest.aged_transactions(sample.transactions(spark, folder, with_store), as_of)
 
 
-def _slots(items):
-    return ingest.slots_needed(items, BY_ORDER, at_least=ingest.DEFAULT_SLOTS)
-
-
 def _wide(spark, folder):
     items = sample.transaction_items(spark, folder)
-    return ingest.wide_orders(_aged(spark, folder), items, _slots(items), BY_ORDER)
+    return ingest.wide_orders(_aged(spark, folder), items, keys=BY_ORDER)
 
 
 # --- ingest --------------------------------------------------------------------
@@ -112,8 +108,8 @@ def lake_raw_orders(spark, folder):
     for name, rows in (("transactions", placed.drop("store_name")), ("transaction_item", items)):
         rows.write.parquet(f"{base}/pos/{name}")
     stores = [Store("store-1", f"{base}/pos"), Store("store-2", f"{base}/pos")]
-    snapshot = weekly_ingest.run(spark, stores, f"{base}/lake", AS_OF, _slots(items))
-    return weekly_ingest.raw_orders(spark, f"{base}/lake", snapshot)
+    snapshot = weekly_ingest.run(spark, stores, f"{base}/lake", AS_OF)
+    return weekly_ingest.raw_orders(spark, f"{base}/lake", snapshot).drop("part")
 
 
 @query

@@ -15,7 +15,7 @@ from tillwright.operators.dimensions import (
     refresh_employees,
 )
 from tillwright.operators.facts import fact_point_transaction, fact_sales
-from tillwright.operators.snapshots import latest_per_key
+from tillwright.operators.snapshots import newest_rows
 from tillwright.sinks.warehouse import (
     POINTS_ORDER,
     append_facts,
@@ -66,7 +66,7 @@ def load_facts(
 ) -> None:
     """Load wide orders into both facts; loading them again changes nothing."""
     raw = raw_orders(spark, lake, snapshot)
-    wide = latest_per_key(raw) if snapshot is None else raw
+    wide = newest_rows(raw) if snapshot is None else raw
     stores, employees, customers, products = (
         spark.read.parquet(f"{warehouse}/{name}")
         for name in ("dim_store", "dim_employee", "dim_customer", "dim_product")
@@ -78,7 +78,7 @@ def load_facts(
         months=months,
     )
     append_facts(
-        fact_point_transaction(wide, stores, customers),
+        fact_point_transaction(wide.where("part = 0"), stores, customers),
         f"{warehouse}/fact_point_transaction",
         keys=("transaction_key",),
         order=POINTS_ORDER,

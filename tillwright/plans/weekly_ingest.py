@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.functions.dates import snapshot_label
 from tillwright.operators.facts import dropped_transactions
-from tillwright.operators.ingest import aged_transactions, items_of, wide_orders
+from tillwright.operators.ingest import DEFAULT_SLOTS, aged_transactions, items_of, wide_orders
 from tillwright.sinks.lake import by_store, write_raw, write_staged
 from tillwright.sources.snapshots import raw_orders, require_inputs, staged
 from tillwright.sources.tables import Store, read_stores
@@ -36,18 +36,18 @@ def build_raw(
     stores: Sequence[str],
     lake: str,
     snapshot: str,
-    slots: int | None = None,
+    slots: int | None = DEFAULT_SLOTS,
 ) -> DataFrame:
     """Wide orders of a staged snapshot; fails when a store's input is missing.
 
-    They are as wide as the largest basket of the snapshot, or have ``slots`` slots.
+    A basket with more items than ``slots`` has several rows, numbered by ``part``.
     """
     require_inputs(spark, lake, stores, snapshot)
     transactions, items = (
         staged(spark, lake, table, snapshot).drop("snapshot_date")
         for table in ("transactions", "transaction_item")
     )
-    return wide_orders(transactions, items, slots)
+    return wide_orders(transactions, items, slots, part="part")
 
 
 def run(
@@ -55,7 +55,7 @@ def run(
     stores: Sequence[Store],
     lake: str,
     as_of: datetime,
-    slots: int | None = None,
+    slots: int | None = DEFAULT_SLOTS,
 ) -> str:
     snapshot = stage(spark, stores, lake, as_of)
     wide = build_raw(spark, [store.name for store in stores], lake, snapshot, slots)

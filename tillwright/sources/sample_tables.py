@@ -14,9 +14,6 @@ from tillwright.operators.orders import priced_items
 from tillwright.schemas import CUSTOMER_CREATED, POINT_UPDATED
 from tillwright.streaming.events import envelope
 
-# Documents larger than this fail the job; the planner cuts up to 1,000 rows early.
-MAX_DOCUMENT_ITEMS = 999
-
 PAYMENT_BY_PRIORITY = {
     "1-URGENT": "card",
     "2-HIGH": "card",
@@ -220,7 +217,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """One JSON document per order in column ``value``."""
     items = gather_items(
-        order_lines(spark, folder), MAX_DOCUMENT_ITEMS, ("transaction_id",),
+        order_lines(spark, folder), ("transaction_id",),
         ("product_id", "quantity", "unit_price"),
     )
     orders = order_headers(spark, folder).join(items, "transaction_id", "left")
