@@ -25,6 +25,7 @@ HEADLINES = (
     "snapshot_latest",
     "dim_customer",
     "fact_sales",
+    "fact_sales_from_wide",
     "fact_point_transaction",
     "order_totals",
     "order_header_rows",
