@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwright.session import shared_folder
 
@@ -26,16 +27,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
-    """A function for ``mapInArrow`` that turns each batch into one batch."""
+# A side of a join is broadcast only if it is counted and has at most so many rows.
+BROADCAST_ROWS = 500_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = work(batch)
-            if made is not None:
-                yield made
 
-    return run
+def small_side(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if a count shows that it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def vector_groups(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -9,6 +9,7 @@ branch when what remains of both sides can no longer reach the overlap that is n
 Only what changes the components is compared: sets that are known to be connected are
 passed over, first within the largest group of each set, then between the components that
 meet in a group, at last between all sets of groups that still hold several components.
+Before texts are moved, sizes and short sketches rule out groups without any similar pair.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import Forest, staged
+from tillwright.llm.common import Forest, small_side, staged
 from tillwright.llm.components import components
 from tillwright.llm.shingles import Shingler, fingerprint
 
@@ -34,6 +35,8 @@ GROUP = 1024
 
 DESCRIBED = "doc_id long, class long, n_shingles long, segment int, counts binary"
 POSTED = "bucket int, keys binary, classes binary"
+SKETCHED = "class long, text string, size long, sketch binary"
+PROMISING = "key long, i long, j long, class long, label long"
 MEMBERS = "key long, class long, n long"
 
 
@@ -270,34 +273,90 @@ def trie_links(sets: list[np.ndarray], known: list[int], similar: Similarity) ->
     return links
 
 
+def _sketch(size: int):
+    """Size and sketch of the set of every text: how many shingles fall into each of 256
+    buckets. The sketches of two sets never differ by more than the sets do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(size)
+        for batch in batches:
+            sizes, sketches, own = [], [], []
+            for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                shingles = shingler.set_of(text)
+                # Another text under the same id is not of this class.
+                own.append(bool(len(shingles)) and fingerprint(shingles) == number)
+                counts = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256)
+                sizes.append(len(shingles))
+                sketches.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+            made = pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())],
+                names=["class", "text", "size", "sketch"],
+            )
+            yield made.filter(pa.array(own, pa.bool_()))
+
+    return run
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int, columns: int) -> Iterator[tuple[list, dict]]:
+    """Rows sorted by their first ``keys`` columns, as one group at a time by class."""
+    group, rows = None, {}
+    for batch in batches:
+        for row in zip(*[batch.column(i).to_pylist() for i in range(columns)], strict=True):
+            key = row[:keys]
+            if key != group:
+                if len(rows) > 1:
+                    yield group, rows
+                group, rows = key, {}
+            rows[row[keys]] = row[keys + 1 :]
+    if len(rows) > 1:
+        yield group, rows
+
+
+def _promising(similar: Similarity):
+    """Of each group the classes that sizes and sketches leave a partner of another label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in _groups(batches, 3, 7):
+            classes = np.array(list(rows), np.int64)
+            labels = np.array([row[0] for row in rows.values()], np.int64)
+            sizes = np.array([row[1] for row in rows.values()], np.int64)
+            sketches = np.frombuffer(b"".join(row[2] for row in rows.values()), np.uint8)
+            sketches = sketches.reshape(-1, 256).astype(np.int16)
+            kept = np.zeros(len(classes), bool)
+            for i in range(len(classes)):
+                others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+                both = sizes[i] + sizes[others]
+                room = both - 2 * similar.overlap(sizes[i], sizes[others])
+                others, room = others[abs(sizes[others] - sizes[i]) <= room], room[abs(sizes[others] - sizes[i]) <= room]
+                near = others[np.abs(sketches[others] - sketches[i]).sum(axis=1) <= room]
+                if len(near):
+                    kept[i] = kept[near] = True
+            if kept.any():
+                count = int(kept.sum())
+                columns = [pa.array([x] * count, pa.int64()) for x in group]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(classes[kept]), pa.array(labels[kept])],
+                    names=["key", "i", "j", "class", "label"],
+                )
+
+    return run
+
+
 def _link(size: int, similar: Similarity, weights):
     """Spanning links of each group in rows sorted by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, table = Shingler(size), weights.value
-        group, rows = None, {}
-
-        def solve() -> pa.RecordBatch:
+        for _, rows in _groups(batches, 3, 6):
             classes = list(rows)
-            ordered = [_ordered(shingler.set_of(rows[c][0]), table) for c in classes]
+            ordered = [_ordered(shingler.set_of(text), table) for _, text in rows.values()]
             everything = _ordered(np.unique(np.concatenate(ordered)), table)
             # Ranks in the global order, looked up by hash.
             by_hash = np.argsort(everything)
             sets = [by_hash[np.searchsorted(everything[by_hash], s)] for s in ordered]
-            found = trie_links(sets, [rows[c][1] for c in classes], similar)
+            found = trie_links(sets, [label for label, _ in rows.values()], similar)
             ends = [[classes[pair[i]] for pair in found] for i in (0, 1)]
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
-
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for *key, own, label, text in zip(*columns, strict=True):
-                if key != group:
-                    if len(rows) > 1:
-                        yield solve()
-                    group, rows = key, {}
-                rows[own] = (text, label)
-        if len(rows) > 1:
-            yield solve()
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
 
     return run
 
@@ -340,12 +399,18 @@ def similar_documents(
 
     # The text of one document of each class that shares a key.
     reps = described.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    wanted = reps.join(members.select("class").distinct(), "class", "left_semi")
-    texts = staged(docs.join(wanted, "doc_id").select("class", "text").dropDuplicates(["class"]), "shingle-texts")
+    wanted = staged(reps.join(members.select("class").distinct(), "class", "left_semi"), "shingle-wanted")
+    texts = docs.join(small_side(wanted), "doc_id").select("class", "text")
+    texts = staged(texts.mapInArrow(_sketch(words), SKETCHED), "shingle-texts")
 
     def linked(rows: DataFrame) -> DataFrame:
         """New links of ``rows(key, i, j, class, label)``."""
-        with_text = rows.join(texts, "class").select("key", "i", "j", "class", "label", "text")
+        group = [F.col(c).cast("long").alias(c) for c in ("key", "i", "j")]
+        sketched = rows.join(texts.select("class", "size", "sketch").withColumnRenamed("size", "n"), "class")
+        sketched = sketched.select(*group, "class", "label", "n", "sketch")
+        dealt = sketched.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        near = staged(dealt.mapInArrow(_promising(similar), PROMISING), "shingle-near")
+        with_text = texts.select("class", "text").join(small_side(near), "class").select(*near.columns, "text")
         dealt = with_text.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         return staged(dealt.mapInArrow(_link(words, similar, weights), "a long, b long"), "shingle-links")
 
@@ -369,13 +434,18 @@ def similar_documents(
         mixed_keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
         return staged(rows.join(mixed_keys.select("key"), "key", "left_semi"), "shingle-mixed")
 
-    mixed = labelled(links)
+    mixed, done = labelled(links), None
     while True:
         reps_of = mixed.groupBy("key", "label").agg(F.min("class").alias("class"))
-        lists = one_of_each_list(reps_of).select("key", "size")
-        new = linked(reps_of.join(lists, "key").withColumns({"i": block, "j": F.lit(0)}))
+        lists = one_of_each_list(reps_of)
+        if done is not None:
+            # Only where a link has changed which members stand for their components.
+            lists = lists.join(done, ["size", "s"], "left_anti")
+        lists = staged(lists, "shingle-lists")
+        new = linked(reps_of.join(small_side(lists.select("key", "size")), "key").withColumns({"i": block, "j": F.lit(0)}))
         if new.isEmpty():
             break
+        done = lists if done is None else done.union(lists)
         links = staged(links.union(new), "shingle-links")
         mixed = labelled(links)
 
