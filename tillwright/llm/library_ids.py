@@ -9,6 +9,7 @@ with runs of white space, goes to the library whole.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -45,6 +46,7 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.blank = " " if leading_blank else ""
         self.dtype = np.dtype(dtype)
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.model = self.tokenizer.model
         self.known: dict[str, bytes | str] = {}
         self.tails: dict[str, bytes] = {}
@@ -61,8 +63,11 @@ class WordIds:
             word = word[1:]
         else:
             word = " " + word
-        raw = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-        return np.array([token.id for token in self.model.tokenize(raw)], self.dtype).tobytes()
+        if word.isascii():
+            raw = word.replace(" ", BYTE_CHARACTERS[0x20])
+        else:
+            raw = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        return array(self.code, [token.id for token in self.model.tokenize(raw)]).tobytes()
 
     def _learn(self, words: set[str]) -> None:
         known, others = self.known, []
