@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tillwright.llm import ngram_trie, toxicity, trie_join
+from tillwright.llm import ngram_trie, queries, toxicity, trie_join
 from tillwright.llm.components import components
 from tillwright.llm.elias_fano import EliasFano, decode, encode
 from tillwright.llm.line_dedup import block_keys, blocks_for, drop_repeated_lines, marked_lines, simhash
@@ -229,6 +229,32 @@ def test_near_lines_equal_brute_force(spark):
     assert got == {d: kept for d, kept in brute_lines(docs).items() if kept}
 
 
+def changed(words, share, rng):
+    """A line with one changed character in a share of its words, at least one."""
+    words = list(words)
+    for at in rng.sample(range(len(words)), max(1, round(share * len(words)))):
+        spot = rng.randrange(len(words[at]))
+        words[at] = words[at][:spot] + rng.choice("0123456789") + words[at][spot + 1 :]
+    return words
+
+
+@pytest.mark.parametrize("share", [0, 0.1])
+def test_query_finds_near_lines_by_edit_similarity(spark, monkeypatch, share):
+    rng = random.Random(6)
+    rows = []
+    for count in (8, 12, 20, 40, 100):
+        for _ in range(40):
+            words = ["".join(rng.choices(string.ascii_lowercase, k=rng.randrange(2, 9))) for _ in range(count)]
+            rows += [(len(rows) + i, " ".join(w), 0, "") for i, w in enumerate((words, changed(words, share, rng)))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    got = {row.doc_id for row in queries.op6_line_dedup(spark, "").collect()}
+    assert got >= {doc for doc, *_ in rows if doc % 2 == 0}
+    # Each pair has an edit similarity above 0.95, so that brute force drops all 200.
+    found = sum(doc % 2 and doc not in got for doc, *_ in rows)
+    assert found >= 196
+
+
 def toxic_rows(count, seed=1):
     rng = random.Random(seed)
     rows = []
