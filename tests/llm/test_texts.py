@@ -255,6 +255,22 @@ def test_query_finds_near_lines_by_edit_similarity(spark, monkeypatch, share):
     assert found >= 196
 
 
+def test_query_drops_short_lines_and_lines_without_blanks(spark, monkeypatch):
+    han = "".join(chr(0x4E00 + (i * 37) % 900) for i in range(200))
+    thai = "".join(chr(0x0E01 + (i * i) % 40) for i in range(12))
+    rows = [
+        (1, f"Les.\nKeep this\n{han}\n...\n", 0, ""), (2, "les\nkeep that\n...\n", 0, ""), (3, f"own\n{han}", 0, ""),
+        (4, han[:90] + "x" + han[91:] + "\nown two", 0, ""), (5, thai, 0, ""), (6, thai[:-1] + "x\nOwn!", 0, ""),
+        (7, "Les", 0, ""), (8, " \n\n", 0, ""), (9, "x" * 70_000 + "\nles\nnew", 0, ""), (10, thai, 0, ""),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    got = {row.doc_id: row.text for row in queries.op6_line_dedup(spark, "").collect()}
+    assert got == {
+        1: rows[0][1], 2: "keep that\n...\n", 3: "own", 4: "own two", 5: thai, 8: " \n\n", 9: "x" * 70_000 + "\nnew",
+    }
+
+
 def toxic_rows(count, seed=1):
     rng = random.Random(seed)
     rows = []

@@ -43,7 +43,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf_dir, "documents"), similarity=0.8, by_pieces=True)
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), similarity=0.8, by_pieces=True, every_line=True)
 
 
 def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
