@@ -300,6 +300,16 @@ def test_toxicity_is_learnt_and_held_out_rows_are_not_used(spark):
     assert {(r.doc_id, r.score) for r in again} == {(r.doc_id, r.score) for r in got}
 
 
+@pytest.mark.parametrize("run", ["x" * 100, "x_y-/" * 20, "好" * 100])
+def test_toxicity_sees_words_behind_long_runs(run):
+    features = toxicity.Features()
+    rows = [features.of(text) for text in ["a vilezz b", "a mild b"] * 20]
+    weights = toxicity.fit(rows, np.array([1.0, 0.0] * 20))
+    toxic, mild = (weights[features.of(run + word)].sum() for word in ("vilezz", "mild"))
+    assert toxic > 1 > -1 > mild
+    assert all(len(word) <= toxicity.CACHED_LETTERS for word in features.words)
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs = spark.createDataFrame(toxic_rows(3), SCHEMA)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

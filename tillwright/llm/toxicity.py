@@ -19,18 +19,23 @@ SHORTEST, LONGEST = 2, 5
 PENALTY = 1e-3
 ROUNDS = 40
 CACHED_WORDS = 300_000
+#: Words longer than this are rare, and not kept.
+CACHED_LETTERS = 64
 NONZEROS_AT_ONCE = 2_000_000
 APART = str.maketrans({mark: " " for mark in ".,;:!?\"'()[]{}<>"})
 
 
 class WordFeatures(dict):
-    """Hashed n-grams of a word between its edges, and the whole word, as int32 bytes."""
+    """Hashed n-grams of a word of any length between its edges, and the whole word, as
+    int32 bytes."""
 
     def __missing__(self, word: str) -> bytes:
-        raw = f"\x02{word[:64]}\x03"
+        raw = f"\x02{word}\x03"
         grams = {raw[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(raw) - n + 1)}
         grams.add(f"={word}")
         made = np.array([zlib.crc32(gram.encode()) % FEATURES for gram in grams], np.int32).tobytes()
+        if len(word) > CACHED_LETTERS:
+            return made
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = made
