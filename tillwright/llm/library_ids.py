@@ -4,6 +4,9 @@ lately seen.
 A text is cut at its blanks, where neither kind of tokenizer ever joins anything, so the
 ids of the text are those of its words in turn; a text for which that is not sure, one
 with runs of white space, goes to the library whole.
+
+A literal special token in a text, such as ``<|endoftext|>``, is encoded as plain text and does
+not give its special id, which the library's default would.
 """
 
 from __future__ import annotations
