@@ -13,6 +13,7 @@ from tillwright.llm.common import table
 from tillwright.llm.grid_join import near_duplicate_vectors
 from tillwright.llm.line_dedup import drop_repeated_lines
 from tillwright.llm.ngram_trie import language_model_report
+from tillwright.llm.norm_buckets import ranked_search
 from tillwright.llm.packing import pack_documents
 from tillwright.llm.token_files import token_file_report
 from tillwright.llm.toxicity import toxicity_report
@@ -65,11 +66,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_encoded(table(spark, sf_dir, "documents"), path, digests, columns)
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op5_toxicity, op6_line_dedup,
         op7_ngram_trie, op8_va_file, op9_packing, op10_byte_bpe,
+        op11_norm_buckets,
     )
 }
 
@@ -119,4 +125,35 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 10
     """,
+    "op11_norm_buckets": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), i AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), wanted AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+        total AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS terms FROM d WHERE len(terms) > 0),
+        tf AS (
+            SELECT doc_id, len(terms) AS n, term, count(*) AS tf
+            FROM (SELECT doc_id, terms, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, terms, term
+        ), weight AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tf, total GROUP BY term, docs
+        ), scored AS (
+            SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf)
+                // (1000 * tf + 8 * (100 - 75 + (75 * n * total.docs) // total.terms))))::BIGINT AS score
+            FROM wanted JOIN tf USING (term) JOIN weight USING (term), total
+            GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, n::INTEGER AS rank, doc_id, score FROM ranked WHERE n <= 10
+    """,
 }
