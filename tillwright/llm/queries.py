@@ -18,6 +18,7 @@ from tillwright.llm.packing import pack_documents
 from tillwright.llm.token_files import token_file_report
 from tillwright.llm.toxicity import toxicity_report
 from tillwright.llm.trie_join import similar_documents
+from tillwright.llm.turn_repair import damage_turns, repair_turns
 from tillwright.llm.va_file import exact_top_k
 from tillwright.llm.warc import archive_report
 
@@ -70,12 +71,16 @@ def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_turns(damage_turns(table(spark, sf_dir, "conversations")), copies="copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op5_toxicity, op6_line_dedup,
         op7_ngram_trie, op8_va_file, op9_packing, op10_byte_bpe,
-        op11_norm_buckets,
+        op11_norm_buckets, op13_turn_repair,
     )
 }
 
@@ -156,4 +161,99 @@ ORACLES: dict[str, str] = {
         )
         SELECT item_id, n::INTEGER AS rank, doc_id, score FROM ranked WHERE n <= 10
     """,
+    "op13_turn_repair": r"""
+        WITH RECURSIVE keyed AS (
+            -- CRC-32, a bit at a time
+            SELECT *, xor(list_reduce([4294967295] || [ascii(c)::BIGINT FOR c IN string_split(
+                    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+                lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+                    lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS pick
+            FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text
+                FROM conversations)
+        ), damaged AS (
+            SELECT conv_id, turn, CASE pick WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE pick WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(range(CASE pick WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM keyed
+        ), placed AS (
+            SELECT *, row_number() OVER place AS pos, left(role, 1) AS initial,
+                lag(left(role, 1)) OVER place AS initial_before,
+                right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS mark,
+                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+            FROM damaged
+            WINDOW place AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                md5(length(role)::VARCHAR || ':' || role || text), copy)
+        ), judged AS (
+            SELECT *, CASE WHEN mark = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                WHEN mark NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM placed
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (pos > 1 AND initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+                count(*) AS length
+            FROM judged GROUP BY conv_id
+        ), back AS (
+            -- From the last row to the first: what is cheapest from each state on (0 nothing yet,
+            -- 1 system, 2 user, 3 assistant), as cost, audit and what is said.
+            SELECT conv_id, length AS pos, {'cost': 0, 'audit': '', 'said': ''} AS s0,
+                {'cost': 10, 'audit': 'II', 'said': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s1,
+                {'cost': 5, 'audit': 'I', 'said': chr(10) || 'assistant:'} AS s2,
+                {'cost': 0, 'audit': '', 'said': ''} AS s3
+            FROM counted
+            UNION ALL
+            SELECT conv_id, pos, f0,
+                list_sort([f1, {'cost': f2.cost + 5, 'audit': 'I' || f2.audit, 'said': chr(10) || 'user:' || f2.said}])[1],
+                list_sort([f2, {'cost': f3.cost + 5, 'audit': 'I' || f3.audit, 'said': chr(10) || 'assistant:' || f3.said}])[1],
+                f3
+            FROM (
+                SELECT conv_id, pos,
+                    list_sort([g0, {'cost': g2.cost + 5, 'audit': 'I' || g2.audit, 'said': chr(10) || 'user:' || g2.said},
+                        {'cost': g3.cost + 10, 'audit': 'II' || g3.audit, 'said': chr(10) || 'user:' || chr(10) || 'assistant:' || g3.said}])[1] AS f0,
+                    list_sort([g1, {'cost': g2.cost + 5, 'audit': 'I' || g2.audit, 'said': chr(10) || 'user:' || g2.said},
+                        {'cost': g3.cost + 10, 'audit': 'II' || g3.audit, 'said': chr(10) || 'user:' || chr(10) || 'assistant:' || g3.said}])[1] AS f1,
+                    list_sort([g2, {'cost': g3.cost + 5, 'audit': 'I' || g3.audit, 'said': chr(10) || 'assistant:' || g3.said}])[1] AS f2,
+                    list_sort([g3, {'cost': g2.cost + 5, 'audit': 'I' || g2.audit, 'said': chr(10) || 'user:' || g2.said}])[1] AS f3
+                FROM (
+                    SELECT b.conv_id, b.pos - 1 AS pos,
+                        list_sort(list_filter([
+                            {'cost': s0.cost + 2, 'audit': 'D' || s0.audit, 'said': s0.said},
+                            CASE WHEN stays AND initial = 's' THEN {'cost': s1.cost + extra, 'audit': 'K' || s1.audit, 'said': line || s1.said} END,
+                            CASE WHEN stays AND initial = 'u' THEN {'cost': s2.cost + extra, 'audit': 'K' || s2.audit, 'said': line || s2.said} END,
+                            CASE WHEN stays THEN {'cost': s2.cost + extra + 1, 'audit': 'R' || s2.audit, 'said': chr(10) || 'user:' || text || s2.said} END
+                        ], lambda x: x IS NOT NULL))[1] AS g0,
+                        list_sort(list_filter([
+                            {'cost': s1.cost + 2, 'audit': 'D' || s1.audit, 'said': s1.said},
+                            CASE WHEN stays AND initial = 'u' THEN {'cost': s2.cost + extra, 'audit': 'K' || s2.audit, 'said': line || s2.said} END,
+                            CASE WHEN stays THEN {'cost': s2.cost + extra + 1, 'audit': 'R' || s2.audit, 'said': chr(10) || 'user:' || text || s2.said} END
+                        ], lambda x: x IS NOT NULL))[1] AS g1,
+                        list_sort(list_filter([
+                            {'cost': s2.cost + 2, 'audit': 'D' || s2.audit, 'said': s2.said},
+                            CASE WHEN stays AND initial = 'a' THEN {'cost': s3.cost + extra, 'audit': 'K' || s3.audit, 'said': line || s3.said} END,
+                            CASE WHEN stays THEN {'cost': s3.cost + extra + 1, 'audit': 'R' || s3.audit, 'said': chr(10) || 'assistant:' || text || s3.said} END
+                        ], lambda x: x IS NOT NULL))[1] AS g2,
+                        list_sort(list_filter([
+                            {'cost': s3.cost + 2, 'audit': 'D' || s3.audit, 'said': s3.said},
+                            CASE WHEN stays AND initial = 'u' THEN {'cost': s2.cost + extra, 'audit': 'K' || s2.audit, 'said': line || s2.said} END,
+                            CASE WHEN stays THEN {'cost': s2.cost + extra + 1, 'audit': 'R' || s2.audit, 'said': chr(10) || 'user:' || text || s2.said} END
+                        ], lambda x: x IS NOT NULL))[1] AS g3
+                    FROM back b JOIN (
+                        SELECT *, fault IN ('', 'truncated') AS stays,
+                            CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra,
+                            chr(10) || role || ':' || text AS line
+                        FROM judged
+                    ) j ON b.conv_id IS NOT DISTINCT FROM j.conv_id AND b.pos = j.pos
+                )
+            )
+        )
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+            coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+            coalesce(illegal, 0) AS illegal, coalesce(s0.cost, 0)::BIGINT AS cost,
+            coalesce(s0.audit, '') AS audit, sha256(coalesce(s0.said[2:], '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN back b ON o.conv_id IS NOT DISTINCT FROM b.conv_id AND b.pos = 0
+    """,
 }
