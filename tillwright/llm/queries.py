@@ -12,6 +12,7 @@ from tillwright.llm.byte_bpe import digests, map_encoded
 from tillwright.llm.common import table
 from tillwright.llm.grid_join import near_duplicate_vectors
 from tillwright.llm.line_dedup import drop_repeated_lines
+from tillwright.llm.line_labels import quality_report
 from tillwright.llm.ngram_trie import language_model_report
 from tillwright.llm.norm_buckets import ranked_search
 from tillwright.llm.packing import pack_documents
@@ -71,6 +72,10 @@ def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_turns(damage_turns(table(spark, sf_dir, "conversations")), copies="copies")
 
@@ -80,7 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_grid_join, op2_trie_join, op3_warc, op4_token_files, op5_toxicity, op6_line_dedup,
         op7_ngram_trie, op8_va_file, op9_packing, op10_byte_bpe,
-        op11_norm_buckets, op13_turn_repair,
+        op11_norm_buckets, op12_line_labels, op13_turn_repair,
     )
 }
 
