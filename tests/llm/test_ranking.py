@@ -1,0 +1,101 @@
+"""Ranked search over norm buckets against scores of all documents."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tillwright.llm import norm_buckets
+from tillwright.llm.norm_buckets import ranked_search, terms_of
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {ord(x): x.lower() for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+DOCS = "doc_id long, text string, item int, item_id string, score int"
+ITEMS = "item_id long, text string, doc_id string, n int"
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, k):
+    counts = [(i, Counter(terms(text))) for i, text in docs]
+    counts = [(i, c) for i, c in counts if c]
+    n_docs, length = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    asked = {}
+    for item, text in set(items):
+        asked.setdefault(item, []).extend(terms(text))
+    out = []
+    for item, wanted in asked.items():
+        scored = []
+        for doc, c in counts:
+            m = 100 - 75 + (75 * sum(c.values()) * n_docs) // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                for t in wanted
+                if t in c
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out += [(item, rank, x[3], -x[0]) for rank, x in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def tables(seed, count=300):
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "é", "É", "x1", "data", "İ", "中文", *[f"w{i}" for i in range(120)]]
+    text = lambda n: "".join(rng.choice(words) + rng.choice([" ", "\n", ", ", "_", "\x00", "/"]) for _ in range(n))
+    docs = [(i, text(rng.choice([1, 5, 40, 200]))) for i in range(count)]
+    docs += [(count + i, docs[7][1]) for i in range(40)] + [docs[3], docs[3], (None, docs[5][1]), (None, docs[5][1])]
+    docs += [(900, None), (901, ""), (902, " ._"), (903, "the " * 30_000)]
+    items = [(i, text(rng.choice([1, 4, 30]))) for i in range(12)] + [(20, docs[7][1]), (21, "THE the data data data")]
+    items += [(21, "w1"), (21, "w1"), (None, "x1 w3"), (22, None), (23, ""), (24, "absent"), (25, docs[903 - 900][1])]
+    return docs, items
+
+
+def found(df):
+    return sorted(((r.item_id, r.rank, r.doc_id, r.score) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed, heads, rows, pairs", [(1, 4096, 1024, 500_000), (2, 5, 16, 500_000), (3, 0, 64, 40)])
+def test_search_equals_brute_force(spark, seed, heads, rows, pairs):
+    docs, items = tables(seed)
+    result = ranked_search(
+        spark.createDataFrame([(*d, 1, "x", 2) for d in docs], DOCS).repartition(5),
+        spark.createDataFrame([(*i, "y", 3) for i in items], ITEMS),
+        k=10, heads=heads, rows_per_bucket=rows, pairs_per_block=pairs,
+    )
+    assert found(result) == brute(docs, items, 10)
+
+
+@pytest.mark.parametrize("docs, items", [([], [(1, "a")]), ([(1, "a")], []), ([(1, None)], [(1, "a")]), ([], [])])
+def test_nothing_to_rank(spark, docs, items):
+    result = ranked_search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert result.columns == ["item_id", "rank", "doc_id", "score"] and not result.collect()
+
+
+@pytest.mark.parametrize("part", [1, 7, 64])
+def test_parts_do_not_cut_terms(monkeypatch, part):
+    monkeypatch.setattr(norm_buckets, "BYTES_AT_ONCE", part)
+    text = "Été 12ab  " + "x" * 9000 + " é/Zz" * 50 + "中" * 40
+    assert [t.decode() for p in terms_of(text.encode()) for t in p] == terms(text)
+
+
+def test_bounds_leave_out_most_rows():
+    """Rows with all of an item's terms survive; the many with only the common one do not."""
+    impacts = [[900, 800, 5] if i % 500 == 3 else [5] for i in range(4000)]
+    terms_held = [[0, 1, 2] if len(x) == 3 else [2] for x in impacts]
+    bucket = norm_buckets.Bucket(
+        np.arange(4000), np.zeros(4000, bool), np.array([math.hypot(*x) for x in impacts]),
+        [np.array(x, np.int32).tobytes() for x in terms_held], [np.array(x, np.int64).tobytes() for x in impacts],
+    )
+    rows = bucket.survivors(np.arange(3), np.ones(3, np.int64), 1000)
+    assert rows.tolist() == list(range(3, 4000, 500))
+    assert bucket.exact(rows, np.ones(3, np.int64)).tolist() == [1705] * 8
+    assert not len(bucket.survivors(np.arange(3), np.ones(3, np.int64), 1706))

@@ -2,9 +2,10 @@
 
 Lines of a document are a sequence of two labels. A line's features are shares of its
 characters and words; the field has a weight per feature and one per pair of neighbouring
-labels. It is trained on lines of documents whose quality is labelled: lines of good documents
-are content, and those of bad ones boilerplate at first and then whatever the field itself
-says of them, for a few rounds, since a bad document has ordinary lines too. Viterbi decoding
+labels. It is trained on lines of documents whose quality is labelled. Lines of good documents
+are content. A bad document has ordinary lines too: its lines are boilerplate where a field
+without pairs, trained as if all of them were, says so, then where the field itself does,
+and at least one of them always is. Viterbi decoding
 runs over all documents of a batch at once, line by line. A document is kept if enough of
 its words are in lines of content.
 """
@@ -172,9 +173,14 @@ def _either(scores: np.ndarray, between: np.ndarray) -> np.ndarray:
     return np.logaddexp(scores[:, :1] + between[0], scores[:, 1:] + between[1])
 
 
-def fit_field(sequences: list[np.ndarray], labels: list[np.ndarray], weigh: list[float]) -> np.ndarray:
+def fit_field(
+    sequences: list[np.ndarray], labels: list[np.ndarray], weigh: list[float], chained: bool = True
+) -> np.ndarray:
     """Weights of the features, then of the four pairs of neighbours, by gradient ascent on
-    the weighted conditional log-likelihood (forward-backward) with a small penalty."""
+    the weighted conditional log-likelihood (forward-backward) with a small penalty.
+
+    Pairs weigh nothing unless ``chained``.
+    """
     lines = Ragged(sequences)
     x, y = lines.flat(sequences), lines.flat(labels).astype(int)
     size = x.shape[1]
@@ -201,6 +207,7 @@ def fit_field(sequences: list[np.ndarray], labels: list[np.ndarray], weigh: list
         pairs = np.exp(ways - norm[lines.later][:, None, None])
         expected = np.append(x.T @ (weight * content), np.einsum("i,ijk->jk", weight[lines.later], pairs))
         gradient = (observed - expected) / weight.sum() - DECAY * theta
+        gradient[size:] *= chained
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
         theta += RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     return theta
@@ -215,14 +222,14 @@ def learn_field(sequences: list[np.ndarray], good: list[bool]) -> np.ndarray | N
     share = sum(good) / len(good)
     weigh = [0.5 / share if g else 0.5 / (1 - share) for g in good]
     labels = [np.full(len(s), int(g), np.int8) for s, g in zip(sequences, good, strict=True)]
-    for _ in range(ROUNDS):
-        theta = fit_field(sequences, labels, weigh)
-        between = theta[len(FEATURES) :].reshape(2, 2)
-        found = viterbi([s @ theta[: len(FEATURES)] for s in sequences], between)
-        # A bad document without one line of boilerplate tells nothing new and stays as it was.
-        labels = [
-            old if g or new.all() else new for old, new, g in zip(labels, found, good, strict=True)
-        ]
+    size = len(FEATURES)
+    for chained in [False] + [True] * ROUNDS:
+        theta = fit_field(sequences, labels, weigh, chained)
+        scores = [s @ theta[:size] for s in sequences]
+        for i, found in enumerate(viterbi(scores, theta[size:].reshape(2, 2))):
+            if not good[i]:
+                found[scores[i].argmin()] = BOILERPLATE
+                labels[i] = found
     return fit_field(sequences, labels, weigh)
 
 
