@@ -268,8 +268,8 @@ def train_labeller(
 
     The sample has the ``per_class`` documents of each quality with the smallest hash of their
     id and of each at most ``lines`` lines in a row, so its size is bounded whatever the
-    tables hold; it is fitted in one task. A document with both labels is a bad one. None
-    without documents of both qualities.
+    tables hold; it is fitted in one task. A document with both labels is a bad one, of several
+    texts of one id the least counts. None without documents of both qualities.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_quality"))
     known = known.where("_id IS NOT NULL AND _quality IN (0, 1)").distinct()
@@ -277,11 +277,12 @@ def train_labeller(
     sample = picked[0].unionByName(picked[1]).groupBy("_id").agg((F.min("_quality") == 1).alias("good"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     chosen = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-    pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    windows = chosen.select("good", pick.alias("pick"), "text").mapInArrow(_windows(lines), "good boolean, features binary")
-    # Rows of a repeated id add to the sample; the cut keeps its size bounded.
-    bounded = staged(windows, "line-windows").orderBy(F.xxhash64("features")).limit(2 * per_class)
-    fitted = staged(bounded.coalesce(1).mapInArrow(_fit, "theta array<double>"), "line-field")
+    single = chosen.groupBy("doc_id", "good").agg(F.min("text").alias("text"))
+    pick = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    windows = single.select("good", pick.alias("pick"), "text").mapInArrow(_windows(lines), "good boolean, features binary")
+    # Sorted, since sums of doubles depend on the order.
+    bounded = staged(windows, "line-windows").coalesce(1).sortWithinPartitions("good", "features")
+    fitted = staged(bounded.mapInArrow(_fit, "theta array<double>"), "line-field")
     found = fitted.first()
     return None if found is None else list(found.theta)
 
