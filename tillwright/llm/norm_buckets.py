@@ -36,7 +36,7 @@ ROWS_PER_BUCKET = 1024
 ENTRIES_PER_BUCKET = 1_000_000
 # Items are searched in blocks of about so many pairs of item and term, what one broadcast holds.
 PAIRS_PER_BLOCK = 500_000
-# So many of the longest vectors are searched first, to start all tasks from good scores.
+# About so many of the longest vectors are searched first, to start all tasks from good scores.
 HEADS = 4096
 # Above the rounding of the sums of doubles in the bounds.
 SLACK = 1 + 1e-9
@@ -290,6 +290,19 @@ def _blocks(pairs: DataFrame, limit: int) -> int:
     return blocks
 
 
+def _length_of(index: DataFrame, rows: int) -> float:
+    """A length that about so many vectors have, or more if many are alike."""
+    # Some thousand bins at most: doubles of this size span fewer than 70 powers of two.
+    bins = index.groupBy(F.floor(F.log2("length") * 64).alias("bin"))
+    sizes = bins.agg(F.count(F.lit(1)).alias("rows"), F.min("length").alias("least")).orderBy(F.desc("bin")).collect()
+    cut, held = math.inf, 0
+    for size in sizes:
+        if held >= rows:
+            break
+        cut, held = size.least, held + size.rows
+    return cut
+
+
 def _search_block(counted_from: DataFrame, rows: list, k: int, heads: int, rows_per_bucket: int) -> DataFrame:
     spark = counted_from.sparkSession
     sc = spark.sparkContext
@@ -325,7 +338,8 @@ def _search_block(counted_from: DataFrame, rows: list, k: int, heads: int, rows_
 
     # Any k documents give a lower bound of the kth score; scores below 1 are none.
     reached = [1] * len(items.ids)
-    first = index.orderBy(F.desc("length"), "place").limit(heads)
+    cut = _length_of(index, heads)
+    first = index.where(F.col("length") >= cut)
     for row in _ranked(search(first, reached), k).where(F.col("rank") == k).collect():
         reached[row.item] = row.score
     shortest = min((x / y for x, y in zip(reached, items.lengths, strict=True)), default=0.0)
@@ -362,7 +376,7 @@ def ranked_search(
     Items are dealt into blocks of bounded size, each of which passes over all documents; one
     block holds any set of items up to half a million pairs of item and term. Broadcast are
     one block's items, their weights and the scores reached. ``heads`` and ``rows_per_bucket``
-    change no result: the longest ``heads`` vectors only give scores to start from.
+    change no result: about ``heads`` of the longest vectors only give scores to start from.
     """
     asked = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     split = asked.distinct().mapInArrow(_item_terms, "item_id long, term string, times long")
