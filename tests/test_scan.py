@@ -1,0 +1,68 @@
+"""Ranks and carried values in groups that run over many tasks."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from tillwright.operators import headings, skew
+from tillwright.operators.skew import parts_of, row_number_in_groups
+
+
+def grouped(spark, rows, groups):
+    """``rows`` rows in groups of like size, shuffled, with a value in every fortieth."""
+    scrambled = F.pmod(F.col("id") * 7919, F.lit(rows))
+    return spark.range(rows).repartition(7).select(
+        F.when(F.col("id") % groups > 0, F.col("id") % groups).alias("g"),
+        scrambled.alias("pos"),
+        F.when(F.xxhash64("id") % 40 == 0, F.concat(F.lit("h"), F.col("id"))).alias("heading"),
+    )
+
+
+@pytest.fixture
+def many_parts(spark):
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield 12
+    for name, value in kept.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("rows_in, groups, hot", [(30_000, 1, 100), (50_000, 5000, 5), (20_000, 30, 600), (20_000, 30, 10**9)])
+def test_ranks_and_fills_equal_plain_windows(spark, rows, many_parts, rows_in, groups, hot):
+    df = grouped(spark, rows_in, groups).persist()
+    by_group = Window.partitionBy("g").orderBy("pos")
+    upto = by_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = row_number_in_groups(df, ["g"], "pos", "rank", min_rows=hot)
+    plain = df.withColumn("rank", F.row_number().over(by_group).cast("long"))
+    assert ranked.dtypes == plain.dtypes
+    assert ranked.exceptAll(plain).isEmpty() and ranked.count() == rows_in
+    filled = headings.fill_forward(df, "heading", ["g"], "pos", min_hot_rows=hot)
+    plain = df.withColumn("heading", F.last("heading", ignorenulls=True).over(upto))
+    assert filled.columns == df.columns
+    assert filled.exceptAll(plain).isEmpty() and filled.count() == rows_in
+    df.unpersist()
+
+
+@pytest.mark.parametrize("groups", [1, 5000])
+def test_no_part_holds_more_than_its_share(spark, many_parts, groups):
+    parts = parts_of(grouped(spark, 60_000, groups), ["g"], "pos")
+    sizes = [r.n for r in parts.groupBy("_part").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == many_parts and max(sizes) <= 2 * 60_000 // many_parts
+
+
+def test_all_hot_groups_are_found(spark):
+    df = grouped(spark, 50_000, 5000)
+    assert skew.hot_groups(df, ["g"], 10).count() == 5000
+    assert skew.hot_groups(df, ["g"], 11) is None
+    assert skew.hot_groups(df.where("false"), ["g"], 1) is None
+
+
+def test_two_keys_with_nulls_and_clashing_names(spark, rows):
+    data = [(a, b, n, f"v{n}" if n % 3 == 0 else None) for a in (None, 1) for b in (None, "x") for n in range(20)]
+    df = spark.createDataFrame(data, "a int, b string, pos int, v string").repartition(5)
+    got = row_number_in_groups(df, ["a", "b"], "pos", "rank", min_rows=20)
+    assert rows(got) == sorted([(*r, r[2] + 1) for r in data], key=repr)
+    filled = headings.fill_forward(df, "v", ["a", "b"], "pos", min_hot_rows=20)
+    assert rows(filled) == sorted([(a, b, n, f"v{n - n % 3}") for a, b, n, _ in data], key=repr)
