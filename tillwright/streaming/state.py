@@ -14,8 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.functions.identity import row_identity
 from tillwright.schemas import CUSTOMER_CREATED, CUSTOMER_UPDATED, POINT_UPDATED
-from tillwright.sinks.keyvalue import put_batch
-from tillwright.sources.snapshots import read_or_none
+from tillwright.sinks.keyvalue import Changes, put, put_batch, read_runs
 
 
 def latest_points(events: DataFrame) -> DataFrame:
@@ -46,26 +45,28 @@ def latest_customers(events: DataFrame) -> DataFrame:
 EVENT_KEY = ("customer_id", "type", "ts", "points", "total_money_used")
 
 
+SEEN, SUMS = "seen", "sums"
+
+
 def fresh_events(
     batch: DataFrame, path: str, batch_id: int, keys: Sequence[str] = EVENT_KEY
 ) -> DataFrame:
-    """Events of a batch that no batch before it had, each once, noted in the log at ``path``.
+    """Events of a batch that no batch before it had, each once.
 
-    The log keeps the identity of every event by its day, and a batch reads the days it
-    has events of, so an event counts once however late it or its repeat comes. A batch
-    that is run again sees the log as it was before it, and so finds the same events.
+    The table ``seen`` at ``path`` keeps the identity of every event by its day, and a batch
+    reads the days it has events of, so an event counts once however late it or its repeat
+    comes. A batch that is run again sees the table as it was before it, and so finds the
+    same events.
     """
-    spark = batch.sparkSession
     marked = batch.select(
         "*",
         row_identity(*[F.col(c) for c in keys]).alias("_event"),
         F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("none")).alias("_day"),
     ).dropDuplicates(["_event"])
+    # Days are as many as the calendar has, whatever the number of events.
     days = [row["_day"] for row in marked.select("_day").distinct().collect()]
-    log = read_or_none(spark.read.schema("_event string, _batch long, _day string"), path)
-    if log is not None:
-        # Days are as many as the calendar has, whatever the number of events.
-        seen = log.where(F.col("_day").isin(days) & (F.col("_batch") < batch_id))
+    seen = read_runs(batch.sparkSession, path, SEEN, batch_id, "_day", days)
+    if seen is not None:
         marked = marked.join(seen.select("_event"), "_event", "left_anti")
     return marked
 
@@ -79,21 +80,20 @@ def accrue_once(
 ) -> StreamingQuery:
     """Add the points and money of each purchase event once, whenever it arrives.
 
-    Each batch writes the events it counted and the sums it adds under its own id, in this
-    order of need: sums first, then the log that later batches look at. A batch that failed
-    between the two is run again and replaces both.
+    Each batch publishes the sums it adds and the events it counted together, so one is
+    never there without the other.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bought = batch.where(F.col("type") == POINT_UPDATED)
-        fresh = fresh_events(bought, f"{path}/seen", batch_id, keys).persist()
+        fresh = fresh_events(bought, path, batch_id, keys).persist()
         try:
             deltas = fresh.select(
                 "customer_id", "ts",
                 F.col("points").alias("earned_point"), F.col("total_money_used").alias("amount"),
             )
-            put_batch(accrued_points(deltas), f"{path}/sums", batch_id)
-            _note(fresh, f"{path}/seen", batch_id)
+            sums = Changes(accrued_points(deltas), _added_up, ["customer_id"])
+            put(batch.sparkSession, path, batch_id, {SUMS: sums, SEEN: _noted(fresh)})
         finally:
             fresh.unpersist()
 
@@ -105,26 +105,29 @@ def accrue_once(
     )
 
 
+def _noted(fresh: DataFrame) -> Changes:
+    """The identities of a batch's events; runs of them are merged as they are."""
+    return Changes(fresh.select("_event", "_day"), lambda rows: rows, ["_day", "_event"], "_day")
+
+
 def _note(fresh: DataFrame, path: str, batch_id: int) -> None:
-    """Log the events of a batch; partitions of the batch are replaced by its second run."""
-    (
-        fresh.select("_event", "_day", F.lit(batch_id).cast("long").alias("_batch"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_day", "_batch")
-        .parquet(path)
-    )
+    put(fresh.sparkSession, path, batch_id, {SEEN: _noted(fresh)})
 
 
-def accrued_totals(spark: SparkSession, path: str) -> DataFrame:
-    """Points, money and last purchase per customer over all batches of :func:`accrue_once`."""
-    return spark.read.parquet(f"{path}/sums").groupBy("customer_id").agg(
+def _added_up(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("customer_id").agg(
         F.sum("point").cast("long").alias("point"),
         F.sum("total_money_used").cast("long").alias("total_money_used"),
         F.max("last_updated").alias("last_updated"),
+        F.max("batch_id").alias("batch_id"),
     )
 
 
+def accrued_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Points, money and last purchase per customer over all batches of :func:`accrue_once`."""
+    return _added_up(read_runs(spark, path, SUMS)).drop("batch_id")
+
+
 def accrued_points(deltas: DataFrame) -> DataFrame:
     """Sums of earned points and money per customer, and the time of the last one."""
     return deltas.groupBy("customer_id").agg(
@@ -140,14 +143,15 @@ def keep_state(
     checkpoint: str,
     finish: Callable[[DataFrame], DataFrame] = lambda changed: changed,
     trigger: Mapping | None = None,
+    keys: Sequence[str] = ("customer_id",),
 ) -> StreamingQuery:
-    """Write changed rows of a running state to its log, batch by batch.
+    """Publish changed rows of a running state, batch by batch; runs are merged on the way.
 
     ``finish`` runs on the changed rows of each batch, to add a tier for example.
     """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        put_batch(finish(changed), path, batch_id)
+        put_batch(finish(changed), path, batch_id, keys)
 
     return (
         state.writeStream.outputMode("update")
