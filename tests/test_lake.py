@@ -102,8 +102,8 @@ def test_warehouse_load_is_repeatable(spark, pos, tmp_path):
     sales = spark.read.parquet(f"{dw}/fact_sales")
     assert sales.count() == 11 and sales.where("product_key = 0").count() == 0
     assert spark.read.parquet(f"{dw}/fact_point_transaction").count() == 5
-    assert spark.read.parquet(f"{dw}/dim_product").count() == 11
-    assert spark.read.parquet(f"{dw}/dim_employee").count() == 2
+    assert warehouse_load.dimension(spark, dw, "dim_product").count() == 11
+    assert warehouse_load.dimension(spark, dw, "dim_employee").count() == 2
 
 
 def test_exports_are_stamped_and_skip_empty_tables(spark, tmp_path):
@@ -165,3 +165,55 @@ def test_a_basket_of_thousands_goes_through_ingest_and_load(spark, pos, tmp_path
         warehouse_load.load_facts(spark, stock, lake, snapshot)
     assert spark.read.parquet(f"{stock}/fact_sales").count() == 5011
     assert spark.read.parquet(f"{stock}/fact_point_transaction").count() == 5
+
+
+def test_a_second_load_refreshes_attributes_and_keeps_keys(spark, rows, tmp_path, monkeypatch):
+    from tillwright.sinks import manifest
+
+    dw = str(tmp_path / "dw")
+    first = masters(spark)
+    warehouse_load.load_dimensions(spark, dw, first, transactions(spark))
+    held = {r.product_id: r for r in warehouse_load.dimension(spark, dw, "dim_product").collect()}
+    raised = first.products.where("id <> 'A'").withColumn("price", F.col("price") + 1)
+    added = raised.limit(1).withColumns({"id": F.lit("new"), "product_name": F.lit("New")})
+    later = first._replace(products=raised.unionByName(added))
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(manifest, "publish", stop)
+        with pytest.raises(KeyboardInterrupt):
+            warehouse_load.load_dimensions(spark, dw, later)
+    unchanged = warehouse_load.dimension(spark, dw, "dim_product")
+    assert {r.product_id: r for r in unchanged.collect()} == held
+    for _ in range(2):
+        warehouse_load.load_dimensions(spark, dw, later)
+        after = {r.product_id: r for r in warehouse_load.dimension(spark, dw, "dim_product").collect()}
+        assert after.keys() == held.keys() | {"new"} and after["new"].product_key == len(held) + 1
+        for name, row in held.items():
+            assert after[name].product_key == row.product_key
+            assert after[name].price == row.price + (name != "A")
+
+
+def test_the_calendar_grows_and_keeps_its_holidays(spark, tmp_path):
+    dw = str(tmp_path / "dw")
+    at = lambda *days: spark.createDataFrame([(datetime(2025, 1, d),) for d in days], "created_at timestamp")
+    warehouse_load.load_calendar(spark, dw, at(3, 5))
+    held = warehouse_load.dimension(spark, dw, "dim_date")
+    marked = held.withColumn("is_holiday", F.when(F.col("day") == 4, 1).otherwise(0).cast("smallint"))
+    manifest_path = f"{dw}/dim_date"
+    warehouse_load.write_version(marked, manifest_path)
+    warehouse_load.load_calendar(spark, dw, at(1, 2))
+    days = warehouse_load.dimension(spark, dw, "dim_date").orderBy("date_key").collect()
+    assert [(r.day, r.is_holiday) for r in days] == [(1, 0), (2, 0), (3, 0), (4, 1), (5, 0)]
+
+
+def test_refreshed_members_with_nulls_and_repeats(spark, rows):
+    from tillwright.operators.dimensions import refresh_members
+
+    held = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, "c", None)], "k long, id string, v int")
+    given = spark.createDataFrame([("a", None), ("c", 9), ("c", 8), ("d", 1), ("d", 1), (None, 4)], "id string, v int")
+    after = refresh_members(held, given, "id", "k")
+    assert rows(after) == [(1, "a", None), (2, "b", 6), (3, "c", 8), (4, "d", 1)]
+    assert rows(refresh_members(after, given, "id", "k")) == rows(after)

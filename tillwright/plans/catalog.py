@@ -22,7 +22,8 @@ from tillwright.operators import (
     reshape,
     snapshots,
 )
-from tillwright.plans import reports, weekly_ingest
+from tillwright.plans import reports, warehouse_load, weekly_ingest
+from tillwright.plans.warehouse_load import Masters
 from tillwright.session import prepare, shared_folder
 from tillwright.sinks import keyvalue, warehouse
 from tillwright.sources import sample_tables as sample
@@ -213,6 +214,53 @@ def employee_history(spark, folder):
     return dimensions.refresh_employees(dimensions.dim_employee(staff, stores), raised, stores)
 
 
+def _loaded_twice(spark, folder) -> str:
+    """A warehouse loaded from early masters, then from the masters as they are.
+
+    Early on, products below 950 cost one less and the others are unknown, and customers have
+    the tier of the points they had in 1998.
+    """
+    base = shared_folder(spark, "warehouse")
+    products = sample.products(spark, folder)
+    early = _aged(spark, folder, EARLIER, with_store=False)
+    points = early.groupBy("customer_id").agg(F.sum("point_changed").cast("long").alias("point"))
+    then = sample.loyalty(spark, folder).drop("point").join(points, "customer_id")
+    now = Masters(
+        sample.stores(spark, folder), sample.employees(spark, folder), products,
+        sample.customers(spark, folder), _tiered(spark, folder),
+    )
+    before = now._replace(
+        products=products.where("price < 950").withColumn("price", F.expr("CAST(price - 1 AS DECIMAL(18,2))")),
+        loyalty=loyalty.assign_tiers(then, sample.tiers(spark)),
+    )
+    warehouse_load.load_dimensions(spark, base, before, early)
+    warehouse_load.load_dimensions(spark, base, now, _aged(spark, folder, with_store=False))
+    return base
+
+
+@query
+def dimension_refresh(spark, folder):
+    """Products and customers after a second load with other prices and tiers."""
+    base = _loaded_twice(spark, folder)
+    held = lambda name: warehouse_load.dimension(spark, base, name)
+    products = held("dim_product").select(
+        F.lit("product").alias("dimension"), F.col("product_key").alias("member_key"),
+        F.col("product_id").alias("member"), F.col("price").cast("double").alias("price"),
+        F.lit(None).cast("string").alias("tier"),
+    )
+    customers = held("dim_customer").select(
+        F.lit("customer").alias("dimension"), F.col("customer_key").alias("member_key"),
+        F.col("customer_id").alias("member"), F.lit(None).cast("double").alias("price"), "tier",
+    )
+    return products.unionByName(customers)
+
+
+@query
+def calendar_loaded(spark, folder):
+    """The calendar that two loads leave behind."""
+    return warehouse_load.dimension(spark, _loaded_twice(spark, folder), "dim_date")
+
+
 @query
 def fact_sales(spark, folder):
     return facts.fact_of_items(

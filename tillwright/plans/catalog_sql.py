@@ -260,6 +260,20 @@ FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL
     "dim_product_growth": f"""{_with(_DIM_PRODUCT)}
 SELECT row_number() OVER (ORDER BY price >= 950, product_key) AS product_key,
        product_id, product_name, price FROM dim_product""",
+    "dimension_refresh": f"""{_with(_TRANSACTIONS, _DIM_PRODUCT, _CUSTOMERS, _LOYALTY, _DIM_CUSTOMER)}
+SELECT 'product' AS dimension, row_number() OVER (ORDER BY price >= 950, product_key) AS member_key,
+       product_id AS member, price, CAST(NULL AS VARCHAR) AS tier FROM dim_product
+UNION ALL
+SELECT 'customer', customer_key, customer_id, NULL, tier FROM dim_customer""",
+    "calendar_loaded": f"""{_with(_TRANSACTIONS, _AGED)}
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date,
+       CAST(day(d) AS SMALLINT) AS day, CAST(month(d) AS SMALLINT) AS month,
+       CAST(quarter(d) AS SMALLINT) AS quarter, CAST(year(d) AS INTEGER) AS year,
+       CAST(week(d) AS SMALLINT) AS week, dayname(d) AS weekday_name,
+       CAST(0 AS SMALLINT) AS is_holiday
+FROM (SELECT unnest(generate_series(date_trunc('day', min(created_at)),
+                                    date_trunc('day', max(created_at)), INTERVAL 1 DAY)) AS d
+      FROM aged)""",
     "employee_history": f"""{_with(_DIM_STORE, _STAFF, _DIM_EMPLOYEE)}
 SELECT employee_key, employee_id, employee_name, position, start_date, retire_date, salary,
        store_key, CAST(CASE WHEN salary < 0 THEN 0 ELSE 1 END AS SMALLINT) AS is_current
