@@ -120,3 +120,29 @@ def test_masking_hides_id_and_name(spark):
     keyed = quality.masked_customers(people, "secret").first()
     assert plain.name == "Xxxxxx Xn" and len(plain.id) == 64
     assert keyed.id != plain.id
+
+
+def test_each_table_is_scanned_once(spark, tmp_path):
+    tables = []
+    for name, data, schema in (
+        ("employee", STAFF, schemas.EMPLOYEE), ("products", PRODUCTS, schemas.PRODUCTS),
+        ("transactions", TRANSACTIONS, schemas.TRANSACTIONS), ("items", ITEMS, schemas.TRANSACTION_ITEM),
+    ):
+        spark.createDataFrame(list(data), schema).write.parquet(str(tmp_path / name))
+        tables.append(spark.read.parquet(str(tmp_path / name)))
+    found = quality.store_report(*tables, BY_ID)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 4 and "Join" not in plan
+    assert found.count() == 19
+
+
+def test_keys_of_other_types_are_compared_as_what_they_point_to(spark):
+    parent = spark.createDataFrame([(7,), (8,)], "id int")
+    child = spark.createDataFrame([("7",), ("08",), ("x",), (None,)], "ref string")
+    report = quality.constraint_report(
+        [
+            quality.Checked("p", parent, unique={"id": ["id"]}),
+            quality.Checked("c", child, foreign={"known": (["ref"], "p", "id")}),
+        ]
+    )
+    assert {r.check: r.violations for r in report.collect()} == {"id": 0, "known": 1}

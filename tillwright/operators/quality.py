@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -105,6 +106,83 @@ def violations(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return rows.withColumn("broken", broken).where(F.size("broken") > 0)
 
 
+class Checked(NamedTuple):
+    """A table with the rules of its rows, its unique keys (by name of the check) and its
+    foreign keys: columns, and the table and unique key that they point to."""
+
+    name: str
+    rows: DataFrame
+    rules: Mapping[str, Column] = {}
+    unique: Mapping[str, Sequence[str]] = {}
+    foreign: Mapping[str, tuple[Sequence[str], str, str]] = {}
+
+
+RULES, PARENT = -1, -1
+
+
+def _written(columns: Sequence[Column]) -> Column:
+    """A key as text, null if a part of it is."""
+    texts = [c.cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts])
+
+
+def constraint_report(tables: Sequence[Checked]) -> DataFrame:
+    """``check, table, violations`` of every constraint of some tables, from one scan of each.
+
+    A row tells the rules it breaks, the keys it holds and the keys it points to; one
+    aggregate over all of them, which combines before its shuffle, knows for each key how
+    many rows hold it and how many point to it. A unique check counts keys held more than once,
+    a foreign check the rows that point to a key nobody holds. Keys with a null are neither
+    held nor pointed to. Foreign keys are compared in the type of what they point to.
+    """
+    spaces = {(t.name, check): i for i, t in enumerate(tables) for check in t.unique}
+    spaces = {space: i for i, space in enumerate(spaces)}
+    pointing = {(t.name, check): i for i, t in enumerate(tables) for check in t.foreign}
+    pointing = {child: i for i, child in enumerate(pointing)}
+    keys = {(t.name, check): [t.rows.schema[c].dataType for c in t.unique[check]] for t in tables for check in t.unique}
+
+    def event(space: int, key: Column, side: int) -> Column:
+        told = F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(side).alias("side"))
+        return F.when(key.isNotNull(), told)
+
+    frames = []
+    for table in tables:
+        events = [event(RULES, F.when(broken, F.lit(f"{table.name}: {name}")), PARENT) for name, broken in table.rules.items()]
+        for name, columns in table.unique.items():
+            events.append(event(spaces[table.name, name], _written([F.col(c) for c in columns]), PARENT))
+        for name, (columns, parent, held) in table.foreign.items():
+            cast = [
+                F.coalesce(F.col(c).try_cast(kind).cast("string"), F.col(c).cast("string"))
+                for c, kind in zip(columns, keys[parent, held], strict=True)
+            ]
+            events.append(event(spaces[parent, held], _written(cast), pointing[table.name, name]))
+        if events:
+            frames.append(table.rows.select(F.inline(F.array_compact(F.array(*events)))))
+    sides = [F.count_if(F.col("side") == i).alias(f"points_{i}") for i in pointing.values()]
+    counted = reduce(DataFrame.unionByName, frames).groupBy("space", "key").agg(
+        F.count_if(F.col("side") == PARENT).alias("holds"), *sides
+    )
+    found = []
+    for table in tables:
+        for name in table.rules:
+            broken = (F.col("space") == RULES) & (F.col("key") == f"{table.name}: {name}")
+            found.append((table.name, name, F.sum(F.when(broken, F.col("holds")))))
+        for name in table.unique:
+            repeated = (F.col("space") == spaces[table.name, name]) & (F.col("holds") > 1)
+            found.append((table.name, name, F.count_if(repeated)))
+        for name, (_, parent, held) in table.foreign.items():
+            lost = (F.col("space") == spaces[parent, held]) & (F.col("holds") == 0)
+            found.append((table.name, name, F.sum(F.when(lost, F.col(f"points_{pointing[table.name, name]}")))))
+    sums = counted.agg(*[F.coalesce(total, F.lit(0)).cast("long").alias(f"_{i}") for i, (*_, total) in enumerate(found)])
+    lines = [
+        F.struct(F.lit(name).alias("check"), F.lit(table).alias("table"), F.col(f"_{i}").alias("violations"))
+        for i, (table, name, _) in enumerate(found)
+    ]
+    return sums.select(F.inline(F.array(*lines)))
+
+
 def store_report(
     employees: DataFrame,
     products: DataFrame,
@@ -113,82 +191,85 @@ def store_report(
     keys: Sequence[str] = ("store_name", "transaction_id"),
 ) -> DataFrame:
     """Every constraint of the store tables, counted."""
-    return report(
-        row_checks(
-            employees,
-            "employee",
-            {
-                "employee_name not null": missing("employee_name"),
-                "start_date not null": missing("start_date"),
-                "salary not null": missing("salary"),
-            },
-        ),
-        row_checks(
-            products,
-            "products",
-            {
-                "product_name not null": missing("product_name"),
-                "price not null": missing("price"),
-                "price not negative": outside("price", low=0),
-            },
-        ),
-        row_checks(
-            transactions,
-            "transactions",
-            {
-                "employee_id not null": missing("employee_id"),
-                "created_at not null": missing("created_at"),
-                "final_amount not null": missing("final_amount"),
-                "final_amount not negative": outside("final_amount", low=0),
-                "payment_method in domain": unknown_payment(),
-            },
-        ),
-        unique_check(employees, "employee", "id unique", ["id"]),
-        unique_check(products, "products", "id unique", ["id"]),
-        unique_check(products, "products", "product_name unique", ["product_name"]),
-        unique_check(transactions, "transactions", "key unique", keys),
-        unique_check(items, "transaction_item", "key unique", [*keys, "product_id"]),
-        foreign_check(
-            transactions, "transactions", "employee_id known", "employee_id", employees, "id"
-        ),
-        foreign_check(items, "transaction_item", "product_id known", "product_id", products, "id"),
-        foreign_check(
-            items.select(F.struct(*keys).alias("order")), "transaction_item",
-            "transaction known", "order", transactions.select(F.struct(*keys).alias("order")),
-            "order",
-        ),
+    return constraint_report(
+        [
+            Checked(
+                "employee",
+                employees,
+                {
+                    "employee_name not null": missing("employee_name"),
+                    "start_date not null": missing("start_date"),
+                    "salary not null": missing("salary"),
+                },
+                {"id unique": ["id"]},
+            ),
+            Checked(
+                "products",
+                products,
+                {
+                    "product_name not null": missing("product_name"),
+                    "price not null": missing("price"),
+                    "price not negative": outside("price", low=0),
+                },
+                {"id unique": ["id"], "product_name unique": ["product_name"]},
+            ),
+            Checked(
+                "transactions",
+                transactions,
+                {
+                    "employee_id not null": missing("employee_id"),
+                    "created_at not null": missing("created_at"),
+                    "final_amount not null": missing("final_amount"),
+                    "final_amount not negative": outside("final_amount", low=0),
+                    "payment_method in domain": unknown_payment(),
+                },
+                {"key unique": keys},
+                {"employee_id known": (["employee_id"], "employee", "id unique")},
+            ),
+            Checked(
+                "transaction_item",
+                items,
+                {},
+                {"key unique": [*keys, "product_id"]},
+                {
+                    "product_id known": (["product_id"], "products", "id unique"),
+                    "transaction known": (keys, "transactions", "key unique"),
+                },
+            ),
+        ]
     )
 
 
 def loyalty_report(tiers: DataFrame, customers: DataFrame, loyalty: DataFrame) -> DataFrame:
     """Every constraint of the loyalty tables, counted."""
-    return report(
-        row_checks(
-            tiers,
-            "loyalty_tier",
-            {
-                "min_point not null": missing("min_point"),
-                "min_point not negative": outside("min_point", low=0),
-                "discount_percentage not null": missing("discount_percentage"),
-                "discount_percentage in range": outside("discount_percentage", 0, 100),
-            },
-        ),
-        row_checks(customers, "customer_info", {"name not null": missing("name")}),
-        row_checks(
-            loyalty,
-            "loyalty_customer",
-            {
-                "point not negative": outside("point", low=0),
-                "total_money_used not negative": outside("total_money_used", low=0),
-            },
-        ),
-        unique_check(tiers, "loyalty_tier", "tier unique", ["tier"]),
-        unique_check(customers, "customer_info", "id unique", ["id"]),
-        unique_check(loyalty, "loyalty_customer", "customer_id unique", ["customer_id"]),
-        foreign_check(loyalty, "loyalty_customer", "tier known", "tier", tiers, "tier"),
-        foreign_check(
-            loyalty, "loyalty_customer", "customer known", "customer_id", customers, "id"
-        ),
+    return constraint_report(
+        [
+            Checked(
+                "loyalty_tier",
+                tiers,
+                {
+                    "min_point not null": missing("min_point"),
+                    "min_point not negative": outside("min_point", low=0),
+                    "discount_percentage not null": missing("discount_percentage"),
+                    "discount_percentage in range": outside("discount_percentage", 0, 100),
+                },
+                {"tier unique": ["tier"]},
+            ),
+            Checked("customer_info", customers, {"name not null": missing("name")}, {"id unique": ["id"]}),
+            Checked(
+                "loyalty_customer",
+                loyalty,
+                {
+                    "point not negative": outside("point", low=0),
+                    "total_money_used not negative": outside("total_money_used", low=0),
+                },
+                {"customer_id unique": ["customer_id"]},
+                {
+                    "tier known": (["tier"], "loyalty_tier", "tier unique"),
+                    "customer known": (["customer_id"], "customer_info", "id unique"),
+                },
+            ),
+        ]
     )
 
 

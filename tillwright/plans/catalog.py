@@ -366,6 +366,40 @@ def quality_report(spark, folder):
     )
 
 
+def _spoilt(rows: DataFrame, number: str, repeat_every: int, **values: tuple[int, str]) -> DataFrame:
+    """``rows`` with columns set to an expression in every so many numbers, and rows repeated."""
+    spoilt = rows.withColumns(
+        {c: F.when(F.expr(f"{number} % {n} = 0"), F.expr(e)).otherwise(F.col(c)) for c, (n, e) in values.items()}
+    )
+    return spoilt.unionByName(spoilt.where(F.expr(f"{number} % {repeat_every} = 0")))
+
+
+@query
+def quality_report_dirty(spark, folder):
+    """The same report over store tables in which every constraint is broken."""
+    return quality.store_report(
+        _spoilt(
+            sample.employees(spark, folder), "id", 11,
+            employee_name=(9, "NULL"), start_date=(4, "NULL"), salary=(5, "NULL"),
+        ),
+        _spoilt(
+            sample.products(spark, folder), "CAST(id AS LONG)", 19,
+            price=(13, "-price"), product_name=(23, "IF(id % 2 = 0, NULL, 'same')"),
+        ).withColumn("price", F.when(F.expr("CAST(id AS LONG) % 17 > 0"), F.col("price"))),
+        _spoilt(
+            sample.transactions(spark, folder, with_store=False), "transaction_id", 12,
+            employee_id=(6, "IF(transaction_id % 4 = 0, NULL, 1000000)"), created_at=(9, "NULL"),
+            final_amount=(10, "IF(transaction_id % 3 = 0, NULL, -final_amount)"),
+            payment_method=(8, "'cheque'"),
+        ),
+        _spoilt(
+            sample.transaction_items(spark, folder), "quantity", 7,
+            product_id=(15, "concat('none-', product_id)"), transaction_id=(16, "-transaction_id"),
+        ),
+        BY_ORDER,
+    )
+
+
 @query
 def loyalty_quality_report(spark, folder):
     return quality.loyalty_report(

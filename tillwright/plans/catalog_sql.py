@@ -360,6 +360,75 @@ FROM totals WHERE NOT filled OR COALESCE(given, '') = 'voucher'""",
             ),
         ]
     ),
+    "quality_report_dirty": _with(
+        _TRANSACTIONS,
+        _ITEMS,
+        """
+staff AS (
+  SELECT s_suppkey AS id, CASE WHEN s_suppkey % 9 > 0 THEN s_name END AS employee_name,
+         s_suppkey % 4 > 0 AS started, CASE WHEN s_suppkey % 5 > 0 THEN s_acctbal END AS salary
+  FROM supplier, range(CASE WHEN s_suppkey % 11 = 0 THEN 2 ELSE 1 END))""",
+        """
+goods AS (
+  SELECT p_partkey AS id, CASE WHEN p_partkey % 23 > 0 THEN p_name WHEN p_partkey % 2 = 1 THEN 'same' END
+           AS product_name,
+         CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN -p_retailprice
+              ELSE p_retailprice END AS price
+  FROM part, range(CASE WHEN p_partkey % 19 = 0 THEN 2 ELSE 1 END))""",
+        """
+orders_made AS (
+  SELECT transaction_id,
+         CASE WHEN transaction_id % 6 > 0 THEN employee_id WHEN transaction_id % 4 > 0 THEN 1000000 END
+           AS employee_id,
+         CASE WHEN transaction_id % 9 > 0 THEN created_at END AS created_at,
+         CASE WHEN transaction_id % 10 > 0 THEN amount WHEN transaction_id % 3 > 0 THEN -amount END
+           AS amount,
+         CASE WHEN transaction_id % 8 = 0 THEN 'cheque' ELSE payment_method END AS payment_method
+  FROM tx, range(CASE WHEN transaction_id % 12 = 0 THEN 2 ELSE 1 END))""",
+        """
+things AS (
+  SELECT CASE WHEN quantity % 16 = 0 THEN -transaction_id ELSE transaction_id END AS transaction_id,
+         CASE WHEN quantity % 15 = 0 THEN 'none-' || product_id ELSE product_id END AS product_id
+  FROM items, range(CASE WHEN quantity % 7 = 0 THEN 2 ELSE 1 END))""",
+    )
+    + " UNION ALL ".join(
+        [
+            _violation("employee_name not null", "employee", "employee_name IS NULL", "staff"),
+            _violation("start_date not null", "employee", "NOT started", "staff"),
+            _violation("salary not null", "employee", "salary IS NULL", "staff"),
+            _repeated("id unique", "employee", "id", "staff"),
+            _violation("product_name not null", "products", "product_name IS NULL", "goods"),
+            _violation("price not null", "products", "price IS NULL", "goods"),
+            _violation("price not negative", "products", "price < 0", "goods"),
+            _repeated("id unique", "products", "id", "goods"),
+            _repeated(
+                "product_name unique", "products", "product_name",
+                "(SELECT product_name FROM goods WHERE product_name IS NOT NULL)",
+            ),
+            _violation("employee_id not null", "transactions", "employee_id IS NULL", "orders_made"),
+            _violation("created_at not null", "transactions", "created_at IS NULL", "orders_made"),
+            _violation("final_amount not null", "transactions", "amount IS NULL", "orders_made"),
+            _violation("final_amount not negative", "transactions", "amount < 0", "orders_made"),
+            _violation(
+                "payment_method in domain", "transactions",
+                "payment_method NOT IN ('cash', 'card', 'e-wallet')", "orders_made",
+            ),
+            _repeated("key unique", "transactions", "transaction_id", "orders_made"),
+            _violation(
+                "employee_id known", "transactions", "employee_id NOT IN (SELECT id FROM staff)",
+                "orders_made",
+            ),
+            _repeated("key unique", "transaction_item", "transaction_id, product_id", "things"),
+            _violation(
+                "product_id known", "transaction_item",
+                "product_id NOT IN (SELECT CAST(id AS VARCHAR) FROM goods)", "things",
+            ),
+            _violation(
+                "transaction known", "transaction_item",
+                "transaction_id NOT IN (SELECT transaction_id FROM orders_made)", "things",
+            ),
+        ]
+    ),
     "loyalty_quality_report": _with(
         _TRANSACTIONS,
         _CUSTOMERS,
