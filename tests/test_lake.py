@@ -217,3 +217,29 @@ def test_refreshed_members_with_nulls_and_repeats(spark, rows):
     after = refresh_members(held, given, "id", "k")
     assert rows(after) == [(1, "a", None), (2, "b", 6), (3, "c", 8), (4, "d", 1)]
     assert rows(refresh_members(after, given, "id", "k")) == rows(after)
+
+
+def test_many_stores_are_one_scan(spark, tmp_path, rows):
+    stores = []
+    for n in range(40):
+        path = str(tmp_path / f"pos {n}")
+        wide = transactions(spark).limit(1).withColumns({"transaction_id": F.lit(n), "only_here": F.lit(n)})
+        (wide if n == 7 else wide.drop("only_here")).coalesce(1).write.parquet(f"{path}/transactions")
+        stores.append(Store(f"store-{n}", path))
+    stores.append(Store("twin-of-3", stores[3].location + "/"))
+    both = read_stores(spark, stores, "transactions")
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert rows(both, "store_name", "transaction_id", "only_here") == sorted(
+        [(f"store-{n}", n, 7 if n == 7 else None) for n in range(40)] + [("twin-of-3", 3, None)], key=repr
+    )
+    declared = read_stores(spark, stores, "transactions", schemas.TRANSACTIONS)
+    assert declared.count() == 41 and "only_here" not in declared.columns
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    from tillwright.operators.facts import drop_counts
+
+    some = items(spark).where("transaction_id <> 3")
+    wide = wide_orders(transactions(spark), some, 1, ("transaction_id",), part="part")
+    counts = write_raw(wide.withColumn("store_name", F.lit("s")), str(tmp_path), "2025_11_08", **drop_counts())
+    assert counts == {"transactions": 5, "without_items": 1}

@@ -25,9 +25,9 @@ from tillwright.operators import (
 from tillwright.plans import reports, warehouse_load, weekly_ingest
 from tillwright.plans.warehouse_load import Masters
 from tillwright.session import prepare, shared_folder
-from tillwright.sinks import keyvalue, warehouse
-from tillwright.sources import sample_tables as sample
-from tillwright.sources.tables import Store, read_stores
+from tillwright.sinks import keyvalue, lake, orders as saved, warehouse
+from tillwright.sources import order_files, sample_tables as sample, snapshots as snapshots_in
+from tillwright.sources.tables import Store, read_csv, read_stores
 from tillwright.sources.views import name_tables
 from tillwright.streaming import events as event_stream, sales as sales_stream, state
 
@@ -91,7 +91,7 @@ def orders_long(spark, folder):
 
 @query
 def dropped_transactions(spark, folder):
-    return facts.dropped_transactions(_wide(spark, folder))
+    return facts.dropped_of(_aged(spark, folder), sample.transaction_items(spark, folder), BY_ORDER)
 
 
 @query
@@ -113,6 +113,55 @@ def lake_raw_orders(spark, folder):
     return weekly_ingest.raw_orders(spark, f"{base}/lake", snapshot).drop("part")
 
 
+@query
+def staged_inputs(spark, folder):
+    """What a snapshot of three stores has and lacks when only two have delivered."""
+    base = shared_folder(spark, "lake")
+    placed = sample.transactions(spark, folder).drop("store_name")
+    placed.write.parquet(f"{base}/pos/transactions")
+    sample.transaction_items(spark, folder).write.parquet(f"{base}/pos/transaction_item")
+    stores = [Store("store-1", f"{base}/pos"), Store("store-2", f"{base}/pos")]
+    snapshot = weekly_ingest.stage(spark, stores, f"{base}/lake", AS_OF)
+    names = ["store-1", "store-2", "store-3"]
+    gone = snapshots_in.missing_inputs(spark, f"{base}/lake", names, snapshot)
+    held = spark.read.parquet(f"{base}/lake/manifest").select("store_name", "table", "rows")
+    lost = gone.select("store_name", "table", F.lit(None).cast("long").alias("rows"))
+    return held.withColumn("missing", F.lit(False)).unionByName(lost.withColumn("missing", F.lit(True)))
+
+
+@query
+def csv_products(spark, folder):
+    """Products with commas and quotes in their names, through CSV that begins with a mark."""
+    path = f"{shared_folder(spark, 'export')}/products"
+    odd = F.concat(F.col("product_name"), F.lit(', "'), F.col("id"), F.lit('"'))
+    given = sample.products(spark, folder).withColumn("product_name", odd)
+    lake.write_csv(given.withColumnRenamed("id", "\ufeffid"), path)
+    return read_csv(spark, path, given.schema)
+
+
+@query
+def region_files(spark, folder):
+    """Pages counted per region slug, from CSV in one folder per slug."""
+    path = f"{shared_folder(spark, 'export')}/regions"
+    links = regions.region_links(_titles(spark, folder), "https://stores.example.com/")
+    lake.write_csv(links.select("page_id", "slug"), path, "slug")
+    written = spark.read.schema("page_id long, slug string").csv(path, header=True)
+    return written.groupBy("slug").agg(F.count(F.lit(1)).alias("pages"), F.min("page_id").alias("first_page"))
+
+
+@query
+def stamped_exports(spark, folder):
+    """Transactions of two moments, each exported under its time, and an empty export."""
+    base = shared_folder(spark, "export")
+    targets = [
+        lake.export_table(_aged(spark, folder, moment, with_store=False), f"{base}/transactions", moment)
+        for moment in (EARLIER, AS_OF, datetime(1990, 1, 1))
+    ]
+    rows = spark.read.parquet(*[t for t in targets if t])
+    stamp = F.regexp_extract("_metadata.file_path", r"transactions_(\d{8}_\d{6})\.parquet", 1)
+    return rows.select(stamp.alias("export")).groupBy("export").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def snapshot_latest(spark, folder):
     taken = [
@@ -352,6 +401,56 @@ def order_rejects(spark, folder):
     )
 
 
+@query
+def saved_order_items(spark, folder):
+    """Order items read back: a batch saved twice counts once, one without a marker never."""
+    path = shared_folder(spark, "saved")
+    normal = _normal(spark, folder)
+    for _ in range(2):
+        saved.save_orders(normal.headers, normal.items, path, "1")
+    normal.items.write.parquet(f"{path}/transaction_item/batch_id=2")
+    headers, items = saved.saved_orders(spark, path)
+    return items.join(headers.select("transaction_id", "customer_id"), "transaction_id").drop("batch_id")
+
+
+def _uploads(spark, folder):
+    """Order documents as rows of uploaded CSV, some of which cannot be read."""
+    path = f"{shared_folder(spark, 'upload')}/orders"
+    parsed = orders.parse_orders(sample.order_documents(spark, folder)).drop("document")
+    number = F.col("transaction_id").cast("long")
+    cells = parsed.select(
+        "transaction_id", "customer_id", "employee_id",
+        F.when(number % 31 == 0, "yesterday").otherwise(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss")).alias("created_at"),
+        F.when(number % 17 == 0, '{"product_id"').when(number % 19 == 0, '[{"quantity": "two"}]')
+        .otherwise(F.to_json("items")).alias("items"),
+        F.when(number % 23 == 0, "5 %").otherwise(F.concat(F.lit(" "), F.col("discount"))).alias("discount"),
+        "payment_method",
+    )
+    lake.write_csv(cells, path)
+    return order_files.split_uploads(order_files.read_uploads(spark, path))
+
+
+@query
+def upload_items(spark, folder):
+    """Items of the valid orders among uploaded files."""
+    return orders.normal_form(orders.judge_orders(_uploads(spark, folder)[0].withColumn("document", F.lit(None)))).items
+
+
+@query
+def upload_rejects(spark, folder):
+    """Uploaded rows that cannot be read, by reason."""
+    quarantined = _uploads(spark, folder)[1]
+    return quarantined.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def product_by_key(spark, folder):
+    """The product of the most order lines, looked up by its key."""
+    lines = sample.transaction_items(spark, folder).groupBy("product_id").count()
+    most = lines.orderBy(F.desc("count"), "product_id").first().product_id
+    return lookups.price_list(lookups.row_by_key(sample.products(spark, folder), F.col("id") == most))
+
+
 # --- quality -------------------------------------------------------------------------
 
 
@@ -436,6 +535,33 @@ def customer_upsert(spark, folder):
     )
 
 
+def _judged_requests(spark, folder):
+    """Signups as requests, some without an id or a name."""
+    given = sample.customer_requests(spark, folder)
+    number = F.regexp_extract("name", r"(\d+)", 1).cast("long")
+    return loyalty.judge_customer_requests(
+        given.withColumns(
+            {
+                "id": F.when(number % 11 == 0, "").when(number % 13 == 0, None).otherwise(F.col("id")),
+                "name": F.when(number % 7 > 0, F.col("name")),
+            }
+        )
+    )
+
+
+@query
+def request_rejects(spark, folder):
+    rejected = _judged_requests(spark, folder).rejected
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query
+def valid_upserts(spark, folder):
+    """The customer table after the valid ones of requests."""
+    valid = _judged_requests(spark, folder).valid
+    return loyalty.upsert_customers(sample.customers(spark, folder), valid)
+
+
 @query
 def points_accrual(spark, folder):
     return loyalty.accrue_points(
@@ -491,6 +617,21 @@ def stream_customers(spark, folder):
     return _ntz(kept, "join_date")
 
 
+@query
+def stream_upserts(spark, folder):
+    """Customers that requests created or renamed, as events from the store, read centrally."""
+    base = shared_folder(spark, "events")
+    asked = loyalty.upsert_customers(sample.customers(spark, folder), _judged_requests(spark, folder).valid)
+    changed = asked.where("created IS NOT NULL").withColumn("requested_at", F.lit(AS_OF))
+    sent = event_stream.customer_events(changed, "store-1")
+    event_stream.write_topic(sent, "parquet", {"path": f"{base}/topic"})
+    stream = event_stream.read_topic(
+        spark, "parquet", {"path": f"{base}/topic"}, T.StructType().add("value", "string")
+    )
+    kept = _settled(spark, base, state.latest_customers(event_stream.parse_events(stream).valid))
+    return _ntz(kept, "join_date")
+
+
 @query
 def stream_accrual(spark, folder):
     """Every purchase is delivered twice and counted once."""
@@ -594,6 +735,21 @@ def sales_by_store_month(spark, folder):
     return reports.sales_by_store_month(_sales(spark, folder))
 
 
+@query
+def report_on_loaded_fact(spark, folder):
+    """The monthly report over a sales fact that was loaded from overlapping batches, one of
+    them with every row twice."""
+    path = shared_folder(spark, "facts")
+    dims = _dims(spark, folder)
+    items = sample.transaction_items(spark, folder)
+    for moment, repeats in ((EARLIER, 1), (AS_OF, 2), (AS_OF, 1)):
+        fact = facts.fact_of_items(_aged(spark, folder, moment), items, *dims, keys=BY_ORDER)
+        for _ in range(repeats - 1):
+            fact = fact.unionByName(fact)
+        warehouse.append_facts(fact, path)
+    return reports.sales_by_store_month(spark.read.parquet(path))
+
+
 @query
 def top_products(spark, folder):
     return reports.top_products(_sales(spark, folder))

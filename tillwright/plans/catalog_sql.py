@@ -171,6 +171,16 @@ requests AS (
          'User ' || CAST(event_id AS VARCHAR) AS name, ts
   FROM events WHERE event_type = 'signup')"""
 
+_VALID_REQUESTS = """
+requests AS (
+  SELECT CAST(user_id + CASE WHEN user_id % 2 = 0 THEN 0
+              ELSE (SELECT count(*) FROM customer) END AS VARCHAR) AS id,
+         'User ' || CAST(event_id AS VARCHAR) AS name, ts
+  FROM events
+  WHERE event_type = 'signup' AND event_id % 11 > 0 AND event_id % 13 > 0 AND event_id % 7 > 0)"""
+_ASKED = """
+asked AS (SELECT id, arg_max(name, ts) AS asked_name, min(ts) AS first_ts FROM requests GROUP BY id)"""
+
 _MILLIS = "CAST(epoch_us(ts) // 1000 AS BIGINT)"
 _TITLE = "regexp_extract(html, '<title>(.*?)</title>', 1, 's')"
 
@@ -582,4 +592,59 @@ FROM long GROUP BY product_id ORDER BY quantity DESC, product_id LIMIT 10""",
 SELECT tier, count(*) AS customers, CAST(sum(point) AS BIGINT) AS points,
        CAST(sum(total_money_used) AS BIGINT) AS total_money_used
 FROM tiered GROUP BY tier""",
+    "staged_inputs": f"""{_with(_TRANSACTIONS, _AGED, _ITEMS, _LONG)}
+SELECT s AS store_name, t AS "table",
+       CASE WHEN s = 'store-3' THEN NULL WHEN t = 'transactions' THEN (SELECT count(*) FROM aged)
+            ELSE (SELECT count(*) FROM long) END AS rows, s = 'store-3' AS missing
+FROM (VALUES ('store-1'), ('store-2'), ('store-3')) x(s),
+     (VALUES ('transactions'), ('transaction_item')) y(t)""",
+    "csv_products": """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name || ', "' || CAST(p_partkey AS VARCHAR) || '"' AS product_name,
+       CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price FROM part""",
+    "region_files": f"""
+SELECT CASE WHEN slug <> '' THEN slug END AS slug, count(*) AS pages, min(page_id) AS first_page
+FROM (SELECT page_id, {_slug(_TITLE)} AS slug FROM pages) GROUP BY 1""",
+    "stamped_exports": f"""{_with(_TRANSACTIONS)}
+SELECT '19980801_000000' AS export, count(*) AS rows FROM tx
+WHERE created_at <= {_EARLIER} - INTERVAL 7 DAY
+UNION ALL SELECT '20010801_000000', count(*) FROM tx WHERE created_at <= {_AS_OF} - INTERVAL 7 DAY""",
+    "saved_order_items": f"""{_with(*_ORDERS)}
+SELECT transaction_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, customer_id
+FROM lines JOIN valid USING (transaction_id)""",
+    "upload_items": f"""{_with(*_ORDERS)}
+SELECT transaction_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price
+FROM lines WHERE transaction_id IN (
+  SELECT transaction_id FROM valid
+  WHERE CAST(transaction_id AS BIGINT) % 17 > 0 AND CAST(transaction_id AS BIGINT) % 19 > 0
+    AND CAST(transaction_id AS BIGINT) % 31 > 0 AND CAST(transaction_id AS BIGINT) % 23 > 0)""",
+    "upload_rejects": """
+SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'unreadable items' WHEN o_orderkey % 19 = 0
+              THEN 'items without numbers' WHEN o_orderkey % 31 = 0 THEN 'unreadable time'
+            ELSE 'unreadable discount' END AS reject_reason, count(*) AS rows
+FROM orders WHERE o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 OR o_orderkey % 31 = 0 OR o_orderkey % 23 = 0
+GROUP BY 1""",
+    "product_by_key": f"""{_with(_ITEMS)}
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price
+FROM part WHERE CAST(p_partkey AS VARCHAR) = (
+  SELECT product_id FROM items GROUP BY product_id ORDER BY count(*) DESC, product_id LIMIT 1)""",
+    "request_rejects": """
+SELECT CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'missing id' ELSE 'missing name' END AS reject_reason,
+       count(*) AS requests
+FROM events WHERE event_type = 'signup' AND (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 7 = 0)
+GROUP BY 1""",
+    "valid_upserts": f"""{_with(_CUSTOMERS, _VALID_REQUESTS, _ASKED)}
+SELECT COALESCE(c.id, a.id) AS id, COALESCE(asked_name, name) AS name,
+       CASE WHEN c.id IS NULL THEN first_ts ELSE join_date END AS join_date,
+       CASE WHEN a.id IS NOT NULL THEN c.id IS NULL END AS created
+FROM customers c FULL JOIN asked a ON c.id = a.id""",
+    "stream_upserts": f"""{_with(_CUSTOMERS, _VALID_REQUESTS, _ASKED)}
+SELECT a.id AS customer_id, asked_name AS name,
+       CASE WHEN c.id IS NULL THEN first_ts ELSE join_date END AS join_date
+FROM asked a LEFT JOIN customers c ON c.id = a.id""",
+    "report_on_loaded_fact": f"""{_with(*_WAREHOUSE)}
+SELECT store_name, CAST(strftime(created_at, '%Y%m') AS INTEGER) AS month,
+       count(*) AS transactions, CAST(sum(amount) AS DOUBLE) AS revenue,
+       CAST(sum(point_changed) AS BIGINT) AS points
+FROM aged WHERE transaction_id IN (SELECT transaction_id FROM fact)
+GROUP BY 1, 2""",
 }

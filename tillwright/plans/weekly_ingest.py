@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.functions.dates import snapshot_label
-from tillwright.operators.facts import dropped_transactions
+from tillwright.operators.facts import drop_counts
 from tillwright.operators.ingest import DEFAULT_SLOTS, aged_transactions, items_of, wide_orders
 from tillwright.sinks.lake import by_store, write_raw, write_staged
 from tillwright.sources.snapshots import raw_orders, require_inputs, staged
@@ -59,7 +59,6 @@ def run(
 ) -> str:
     snapshot = stage(spark, stores, lake, as_of)
     wide = build_raw(spark, [store.name for store in stores], lake, snapshot, slots)
-    write_raw(wide, lake, snapshot)
-    written = dropped_transactions(raw_orders(spark, lake, snapshot)).first()
-    log.info("snapshot %s: %s", snapshot, written.asDict())
+    written = write_raw(wide, lake, snapshot, **drop_counts())
+    log.info("snapshot %s: %s", snapshot, written)
     return snapshot

@@ -29,11 +29,41 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def quarantine_reason(raw: DataFrame) -> Column:
+    """Why a row of an upload cannot be read as an order; null if it can.
+
+    A cell that is there but does not read as what it should be is a reason; one that is
+    missing is left to the validation of orders. Items must be a JSON array of objects
+    whose quantity and price are numbers.
+    """
+    text = {f.name: F.trim(F.col(f.name)) for f in ORDER.fields}
+    given = lambda name: F.coalesce(text[name], F.lit("")) != ""
+    items = F.try_parse_json(text["items"])
+    listed = F.try_variant_get(items, "$", "array<variant>")
+    # A number in quotes is a number too: forms send all they have as text.
+    number = lambda item, field: F.try_variant_get(item, f"$.{field}", "double").isNotNull()
+    good = F.forall(listed, lambda item: number(item, "quantity") & number(item, "unit_price"))
+    return (
+        F.when(given("items") & listed.isNull(), "unreadable items")
+        .when(given("items") & ~good, "items without numbers")
+        .when(given("created_at") & F.try_to_timestamp(text["created_at"]).isNull(), "unreadable time")
+        .when(given("discount") & number_or_text(text["discount"])[0].isNull(), "unreadable discount")
+    )
+
+
+def split_uploads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed orders of uploaded rows, and the rows that cannot be read, with the reason."""
+    judged = raw.withColumn("reject_reason", quarantine_reason(raw))
+    good = judged.where("reject_reason IS NULL").drop("reject_reason")
+    return typed_orders(good), judged.where("reject_reason IS NOT NULL")
+
+
+def read_uploads(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the uploaded files as text; commas inside quoted JSON are data."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "enforceSchema": False}
+    return spark.read.schema(UPLOAD).options(**options).csv(path)
+
+
 def read_order_files(spark: SparkSession, path: str) -> DataFrame:
     """Every row of the uploaded files; commas inside quoted JSON are data."""
-    raw = (
-        spark.read.schema(UPLOAD)
-        .options(header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
-        .csv(path)
-    )
-    return typed_orders(raw)
+    return typed_orders(read_uploads(spark, path))
