@@ -168,3 +168,28 @@ def test_saved_orders_are_seen_only_when_complete(spark, tmp_path):
     save_orders(normal.headers, normal.items, path, "8")
     headers, lines = saved_orders(spark, path)
     assert headers.count() == 2 and lines.count() == 4
+
+
+def test_uploads_that_cannot_be_read_are_told_why(spark):
+    from tillwright.sources.order_files import UPLOAD, split_uploads
+
+    good = '[{"product_id": "A", "quantity": "2", "unit_price": 3.5}]'
+    rows_in = {
+        "whole": (good, "2025-11-10T08:00:00", " 2.5 "),
+        "cut off": ('[{"product_id"', "2025-11-10T08:00:00", None),
+        "no list": ('{"quantity": 1}', "2025-11-10T08:00:00", None),
+        "words": ('[{"product_id": "A", "quantity": "two", "unit_price": 1}]', "2025-11-10T08:00:00", None),
+        "no price": ('[{"product_id": "A", "quantity": 2}]', "2025-11-10T08:00:00", None),
+        "when": (good, "soon", None),
+        "rebate": (good, "2025-11-10T08:00:00", "5 %"),
+        "blank": ("", "", ""),
+    }
+    raw = spark.createDataFrame([(n, "c", "5", at, items, off, None) for n, (items, at, off) in rows_in.items()], UPLOAD)
+    typed, refused = split_uploads(raw)
+    assert {r.transaction_id: r.reject_reason for r in refused.collect()} == {
+        "cut off": "unreadable items", "no list": "unreadable items", "words": "items without numbers",
+        "no price": "items without numbers", "when": "unreadable time", "rebate": "unreadable discount",
+    }
+    found = {r.transaction_id: r for r in typed.collect()}
+    assert found.keys() == {"whole", "blank"} and found["blank"]["items"] is None
+    assert found["whole"]["items"][0].quantity == 2 and found["whole"].discount == Decimal("2.50")

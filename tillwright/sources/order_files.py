@@ -15,6 +15,19 @@ def number_or_text(value: Column) -> tuple[Column, Column]:
     return text.try_cast("double"), text
 
 
+def listed_items(text: Column) -> Column:
+    """The entries of a JSON array as variants, null if it is none."""
+    return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+
+
+def typed_items(text: Column) -> Column:
+    """Items of an order; a number in quotes is a number too, as forms send all as text."""
+    cell = lambda item, f: F.try_variant_get(item, f"$.{f.name}", f.dataType.simpleString())
+    return F.transform(
+        listed_items(text), lambda item: F.struct(*[cell(item, f).alias(f.name) for f in ORDER_ITEM.fields])
+    )
+
+
 def typed_orders(raw: DataFrame) -> DataFrame:
     """Order columns given as text, in the types of an order."""
     text = {f.name: F.trim(F.col(f.name)) for f in ORDER.fields}
@@ -23,7 +36,7 @@ def typed_orders(raw: DataFrame) -> DataFrame:
         text["customer_id"].alias("customer_id"),
         text["employee_id"].alias("employee_id"),
         F.try_to_timestamp(text["created_at"]).alias("created_at"),
-        F.from_json(text["items"], T.ArrayType(ORDER_ITEM), {"mode": "PERMISSIVE"}).alias("items"),
+        typed_items(text["items"]).alias("items"),
         text["discount"].try_cast(MONEY).alias("discount"),
         text["payment_method"].alias("payment_method"),
     )
@@ -38,9 +51,7 @@ def quarantine_reason(raw: DataFrame) -> Column:
     """
     text = {f.name: F.trim(F.col(f.name)) for f in ORDER.fields}
     given = lambda name: F.coalesce(text[name], F.lit("")) != ""
-    items = F.try_parse_json(text["items"])
-    listed = F.try_variant_get(items, "$", "array<variant>")
-    # A number in quotes is a number too: forms send all they have as text.
+    listed = listed_items(text["items"])
     number = lambda item, field: F.try_variant_get(item, f"$.{field}", "double").isNotNull()
     good = F.forall(listed, lambda item: number(item, "quantity") & number(item, "unit_price"))
     return (
