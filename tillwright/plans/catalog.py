@@ -17,6 +17,7 @@ from tillwright.operators import (
     loyalty,
     orders,
     pages,
+    prices,
     quality,
     regions,
     reshape,
@@ -443,6 +444,27 @@ def upload_rejects(spark, folder):
     return quarantined.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def lines_priced_as_of(spark, folder):
+    """Items of which two thirds come without a price, priced by a list that changed once.
+
+    Every tenth product has no price before the change.
+    """
+    products = sample.products(spark, folder)
+    number = F.col("id").cast("int")
+    changed = F.expr("date_add(DATE '1995-01-01', CAST(id AS INT) % 1000)").cast("timestamp_ntz")
+    first = products.where(number % 10 > 0).select(
+        F.col("id").alias("product_id"), F.lit(datetime(1992, 1, 1)).cast("timestamp_ntz").alias("valid_from"), "price"
+    )
+    second = products.select(
+        F.col("id").alias("product_id"), changed.alias("valid_from"), (F.col("price") + 5).alias("price")
+    )
+    placed = sample.transactions(spark, folder, with_store=False).select("transaction_id", "created_at")
+    lines = sample.transaction_items(spark, folder).join(placed, "transaction_id")
+    own = F.when(F.col("transaction_id") % 3 == 0, F.lit(1).cast("decimal(18,2)"))
+    return prices.priced_as_of(lines.withColumn("unit_price", own), first.unionByName(second))
+
+
 @query
 def product_by_key(spark, folder):
     """The product of the most order lines, looked up by its key."""

@@ -647,4 +647,17 @@ SELECT store_name, CAST(strftime(created_at, '%Y%m') AS INTEGER) AS month,
        CAST(sum(point_changed) AS BIGINT) AS points
 FROM aged WHERE transaction_id IN (SELECT transaction_id FROM fact)
 GROUP BY 1, 2""",
+    "lines_priced_as_of": f"""{_with(_TRANSACTIONS, _ITEMS)},
+price AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, TIMESTAMP '1992-01-01' AS valid_from,
+         CAST(p_retailprice AS DECIMAL(18,2)) AS price FROM part WHERE p_partkey % 10 > 0
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), CAST(DATE '1995-01-01' + CAST(p_partkey % 1000 AS INTEGER) AS TIMESTAMP),
+         CAST(p_retailprice AS DECIMAL(18,2)) + 5 FROM part)
+SELECT l.transaction_id, l.product_id, l.quantity, l.created_at,
+       CAST(CASE WHEN l.transaction_id % 3 = 0 THEN 1 ELSE p.price END AS DOUBLE) AS unit_price,
+       CASE WHEN l.transaction_id % 3 = 0 THEN 'own' WHEN p.price IS NULL THEN 'no price then' ELSE 'list' END
+         AS price_source
+FROM (SELECT transaction_id, product_id, quantity, created_at FROM items JOIN tx USING (transaction_id)) l
+ASOF LEFT JOIN price p ON l.product_id = p.product_id AND l.created_at >= p.valid_from""",
 }
