@@ -111,7 +111,7 @@ def lake_raw_orders(spark, folder):
         rows.write.parquet(f"{base}/pos/{name}")
     stores = [Store("store-1", f"{base}/pos"), Store("store-2", f"{base}/pos")]
     snapshot = weekly_ingest.run(spark, stores, f"{base}/lake", AS_OF)
-    return weekly_ingest.raw_orders(spark, f"{base}/lake", snapshot).drop("part")
+    return snapshots_in.raw_orders(spark, f"{base}/lake", snapshot).drop("part")
 
 
 @query

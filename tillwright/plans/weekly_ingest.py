@@ -12,7 +12,7 @@ from tillwright.functions.dates import snapshot_label
 from tillwright.operators.facts import drop_counts
 from tillwright.operators.ingest import DEFAULT_SLOTS, aged_transactions, items_of, wide_orders
 from tillwright.sinks.lake import by_store, write_raw, write_staged
-from tillwright.sources.snapshots import raw_orders, require_inputs, staged
+from tillwright.sources.snapshots import require_inputs, staged
 from tillwright.sources.tables import Store, read_stores
 
 log = logging.getLogger(__name__)

@@ -39,7 +39,7 @@ def newest(keys: Sequence[str]) -> Merge:
 
 
 def _write(rows: DataFrame, path: str, change: Changes) -> dict:
-    folder = fresh_folder(path)
+    folder = fresh_folder()
     writer = rows.write
     held = []
     if change.partition:

@@ -59,7 +59,7 @@ def latest(spark: SparkSession, path: str) -> Manifest | None:
     return _read(spark, path, versions[-1]) if versions else None
 
 
-def fresh_folder(path: str) -> str:
+def fresh_folder() -> str:
     """A name under the table for data of a manifest to come."""
     return f"data-{uuid.uuid4().hex}"
 
@@ -95,7 +95,7 @@ def write_version(rows: DataFrame, path: str) -> None:
     """Replace a table; ``rows`` may be made from the version that it replaces."""
     spark = rows.sparkSession
     before = latest(spark, path)
-    folder = fresh_folder(path)
+    folder = fresh_folder()
     rows.write.parquet(f"{path}/{folder}")
     publish(spark, path, {}, [folder], before)
 
