@@ -83,6 +83,21 @@ def test_encoding_equals_the_library_and_decodes(spark):
             at += n
 
 
+def test_every_codepoint_is_cut_as_by_tiktoken():
+    library = tiktoken_encoding()
+    for around in ("a{}b", "1{}2", " {}'s", "\n{} x", "!{}{}"):
+        texts = [
+            "".join(around.format(chr(code), chr(code)) for code in range(block, block + 0x400) if not 0xD800 <= code < 0xE000)
+            for block in range(0, 0x110000, 0x400)
+        ]
+        cut, _, first = pretoken.pieces(texts)
+        for i, text in enumerate(texts):
+            own = cut[first[i] : first[i + 1]]
+            assert "".join(own) == text
+            # Ids of each piece alone, merged without cutting it again.
+            assert [x for piece in own for x in library._encode_single_piece(piece)] == library.encode_ordinary(text)
+
+
 def test_digests(spark):
     df, rows = frame(spark)
     columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -98,8 +113,10 @@ def test_digests(spark):
 @pytest.mark.parametrize(("path", "leading"), [(BYTE_FILE, True), (WORD_FILE, False)])
 def test_word_ids_equal_the_library(path, leading, monkeypatch):
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     texts = [t or "" for t in TEXTS] + random_texts(2, 3000)
+    # Added tokens have their own ids, next to words, in words and in odd cases.
+    for token in ("<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext"):
+        texts += [token, f"a {token} b", f"a{token}b\n{token}{token} ", f"Ünd  {token}'s"]
     words = WordIds(path, leading, "<u2")
     for cached in (800_000, 50):
         monkeypatch.setattr("tillwright.llm.library_ids.CACHED_WORDS", cached)
@@ -115,7 +132,6 @@ def test_token_files(spark, vocabulary):
     shards = token_files.write_token_files(df, folder, BYTE_FILE, 0, vocabulary)
     read = token_files.read_token_files(shards, folder, token_files.crc32_of_ids).collect()
     library = Tokenizer.from_file(BYTE_FILE)
-    library.encode_special_tokens = True
     base, want = 0, []
     for doc_id, text in [(None, "no id"), *sorted((r[0], r[1] or "") for r in rows)]:
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
@@ -157,7 +173,6 @@ def test_packed_documents(spark, limits, window):
     df, rows = frame(spark)
     got = packing.pack_documents(df, WORD_FILE, 2, limits, window=window).collect()
     library = Tokenizer.from_file(WORD_FILE)
-    library.encode_special_tokens = True
     assert check_sequences(got, limits) == 0
     pieces = defaultdict(list)
     for row in got:

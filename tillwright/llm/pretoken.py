@@ -10,16 +10,11 @@ states. Functions of four symbols are tabled, so a step reads four codepoints.
 
 from __future__ import annotations
 
-import unicodedata
 from functools import cache
 
 import numpy as np
 
-# The white space of Unicode, and the endings that an apostrophe takes with it (fixed values).
-WHITE_SPACE = (
-    *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
-)
+# The endings that an apostrophe takes with it (fixed values).
 ONE_LETTER_ENDINGS = ("s", "t", "m", "d")
 TWO_LETTER_ENDINGS = ("re", "ve", "ll")
 
@@ -40,14 +35,18 @@ STATES, SYMBOLS, BLOCK = 8, 9, 64
 
 @cache
 def _classes() -> np.ndarray:
+    """The class of every codepoint by the Unicode tables of tiktoken's own splitter, which may
+    be newer than Python's. It is asked once in each Python worker, for single codepoints."""
+    import tiktoken
+
+    every = "".join(chr(code) for code in range(0x110000) if not 0xD800 <= code < 0xE000)
+    single_bytes = {bytes([x]): x for x in range(256)}
     found = np.zeros(0x110000, np.uint8)
-    for code in range(0x110000):
-        kind = unicodedata.category(chr(code))[0]
-        if kind == "L":
-            found[code] = LETTER
-        elif kind == "N":
-            found[code] = NUMBER
-    found[list(WHITE_SPACE)] = SPACE
+    for own, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+        # What a pattern does not match gives no ids, so the ids are the bytes of the class.
+        matches = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single_bytes, special_tokens={})
+        members = bytes(matches.encode_ordinary(every)).decode()
+        found[np.frombuffer(members.encode("utf-32-le"), np.uint32)] = own
     return found
 
 
