@@ -5,13 +5,14 @@ A text is cut at its blanks, where neither kind of tokenizer ever joins anything
 ids of the text are those of its words in turn; a text for which that is not sure, one
 with runs of white space, goes to the library whole.
 
-A literal special token in a text, such as ``<|endoftext|>``, is encoded as plain text and does
-not give its special id, which the library's default would.
+A text that holds an added token of the file, such as a literal ``<|endoftext|>``, goes to the
+library whole, which gives the token its special id.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
@@ -46,7 +47,10 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Each added token in lower case, after its longest run without letters, which is sought
+        # first; files whose normalizer lowers letters take the token in any case.
+        added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [(max(re.split("[^\\W\\d_]", token), key=len), token) for token in added]
         self.blank = " " if leading_blank else ""
         self.dtype = np.dtype(dtype)
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
@@ -54,6 +58,9 @@ class WordIds:
         self.known: dict[str, bytes | str] = {}
         self.tails: dict[str, bytes] = {}
 
+    def _holds_added(self, text: str) -> bool:
+        return any(mark in text and token in text.lower() for mark, token in self.added)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in made]
@@ -129,7 +136,9 @@ class WordIds:
             for i, (text, own) in enumerate(zip(chunk, words, strict=True)):
                 ids = found[begin : begin + len(own)]
                 begin += len(own)
-                if not self.blank:
+                if self._holds_added(text):
+                    yield self._whole([text])[0]
+                elif not self.blank:
                     yield b"".join(ids)
                 elif ASK_WHOLE in ids or not heads[i] or heads[i][0].isspace() or heads[i][-1].isspace():
                     yield self._whole([text])[0]
