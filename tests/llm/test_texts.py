@@ -320,55 +320,74 @@ def test_toxicity_without_labels_or_documents(spark):
 @pytest.mark.parametrize(("count", "universe"), [(0, 9), (1, 1), (900, 1000), (900, 1 << 50), (5000, 1 << 20)])
 def test_elias_fano(count, universe):
     rng = np.random.default_rng(count)
-    keys = np.unique(rng.integers(0, universe, count, dtype=np.uint64))
+    repeated = np.sort(rng.integers(0, universe, count, dtype=np.uint64))
+    pointers = EliasFano(np.concatenate(encode(repeated, universe)))
+    assert pointers.at(np.arange(count)).tolist() == repeated.tolist()
+    keys = np.unique(repeated)
     sequence = EliasFano(np.concatenate(encode(keys, universe)))
     assert list(decode(sequence)) == keys.tolist()
     asked = np.concatenate((keys, rng.integers(0, universe, 1000, dtype=np.uint64)))
     places = {int(k): i for i, k in enumerate(keys)}
-    assert sequence.find(asked).tolist() == [places.get(int(k), -1) for k in asked]
+    want = np.array([places.get(int(k), -1) for k in asked])
+    assert sequence.find(asked).tolist() == want.tolist()
+    begins = rng.integers(0, len(keys) + 1, len(asked))
+    ends = rng.integers(0, len(keys) + 1, len(asked))
+    inside = np.where((begins <= want) & (want < ends), want, -1)
+    assert sequence.find_within(asked, begins, ends).tolist() == inside.tolist()
 
 
-def brute_model(trained, discount=0.75):
-    """The probability of a token after another, with the same one-byte codes."""
+def brute_model(trained, order, discount=0.75):
+    """The probability of a token after those before it, with the same one-byte codes."""
     coded = lambda p: 10 ** -(min(255, max(0, round(-log10(p) * 255 / 16))) * 16 / 255)
-    single, pairs, followers = Counter(), Counter(), Counter()
+    single = Counter(token for tokens in trained for token in tokens)
+    paths, behind, followers = Counter(), Counter(), Counter()
     for tokens in trained:
-        single.update(tokens)
-        pairs.update(zip([None, *tokens], tokens))
-    followers.update(a for a, _ in pairs)
+        opened = [None, *tokens]
+        for size in range(2, order + 1):
+            paths.update(tuple(opened[i : i + size]) for i in range(len(opened) - size + 1))
+    for path, n in paths.items():
+        behind[path[:-1]] += n
+        followers[path[:-1]] += 1
     total, size = sum(single.values()), len(single)
 
     def chance(before, word):
-        low = max(single[word] - discount, 0) / total + discount * size / total / (size + 1)
-        if before not in single:
-            return low
-        low *= coded(discount * followers[before] / single[before])
-        if (before, word) in pairs:
-            low += coded((pairs[before, word] - discount) / single[before])
+        if not before:
+            return max(single[word] - discount, 0) / total + discount * size / total / (size + 1)
+        low = chance(before[1:], word)
+        if before in behind:
+            low *= coded(discount * followers[before] / behind[before])
+            if (*before, word) in paths:
+                low += coded((paths[*before, word] - discount) / behind[before])
         return low
 
     return single, total, size, chance
 
 
+@pytest.mark.parametrize("order", [2, 3, 5])
 @pytest.mark.parametrize("hot", [1_000_000, 20])
-def test_language_model_equals_brute_force(spark, monkeypatch, hot):
+def test_language_model_equals_brute_force(spark, monkeypatch, hot, order):
     monkeypatch.setattr(ngram_trie, "HOT_CONTEXT", hot)
     texts = [*texts_of(7, 80), "", None, "Ünknown words", "x " * 5000]
     tokens = [[*(t or "").encode().lower().split(), None] for t in texts]
-    df = spark.createDataFrame([(i, t, 0, "") for i, t in enumerate(texts)], SCHEMA)
-    layout = ngram_trie.train(df.where("doc_id % 3 <> 0").select("text"))
-    got = {r.doc_id: r for r in ngram_trie.score_documents(df, layout).collect()}
-    single, total, size, chance = brute_model([t for i, t in enumerate(tokens) if i % 3])
-    for i, own in enumerate(tokens):
-        row = got[i]
+    rows = [(i, t, 0, "") for i, t in enumerate(texts)]
+    # A row without an id and a repeated one are scored like others.
+    df = spark.createDataFrame([*rows, rows[4], (None, texts[5], 0, "")], SCHEMA)
+    layout = ngram_trie.train(spark.createDataFrame(rows, SCHEMA).where("doc_id % 3 <> 0").select("text"), order)
+    scored = ngram_trie.score_documents(df, layout).collect()
+    assert len(scored) == len(rows) + 2
+    single, total, size, chance = brute_model([t for i, t in enumerate(tokens) if i % 3], order)
+    for row in scored:
+        own = tokens[5 if row.doc_id is None else row.doc_id]
+        opened = (None, *own)
         assert (row.n_tokens, row.n_known, row.train_tokens) == (len(own), sum(t in single for t in own), total)
         assert row.base_score == pytest.approx(sum(log10((single[t] + 1) / (total + size + 1)) for t in own))
-        assert row.score == pytest.approx(sum(log10(chance(a, b)) for a, b in zip([None, *own], own)))
+        want = sum(log10(chance(opened[max(0, i - order + 1) : i], opened[i])) for i in range(1, len(opened)))
+        assert row.score == pytest.approx(want)
 
 
 def test_language_model_sums_to_one():
     tokens = [[*t.split(), None] for t in texts_of(8, 30)]
-    single, total, size, _ = brute_model(tokens)
+    single, total, size, _ = brute_model(tokens, 2)
     rest = 0.75 * size / total / (size + 1)
     assert sum((n - 0.75) / total + rest for n in single.values()) + rest == pytest.approx(1)
 

@@ -1,9 +1,10 @@
 """Monotone sequences of integers in Elias-Fano form, built and searched by arrays.
 
 A key is split into low bits, packed one after the other, and high bits, written in unary:
-for every value of the high bits a run of ones, one for each key, and a zero. A directory
-counts the zeros before each word, so the keys of one high value, its bucket, are found
-without walking, and a binary search for the successor goes on inside the bucket.
+for every value of the high bits a run of ones, one for each key, and a zero. Directories
+count the zeros and the ones before each word. Zeros lead to the keys of one high value, its
+bucket, without walking, and a binary search for the successor goes on inside the bucket;
+ones lead to the key at a place, so that a sequence of pointers can be read anywhere.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 
 #: Bits that can be read at any bit offset from the eight bytes there.
 WINDOW = 56
-HEADER = 6
+HEADER = 7
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -29,8 +30,18 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
+def _directory(before: np.ndarray, total: int) -> np.ndarray:
+    """Bits before each word, and the total behind the last one."""
+    made = np.full(-(-(len(before) + 1) // 2) * 2, total, np.uint32)
+    made[: len(before)] = before
+    return made.view(np.uint64)
+
+
 def encode(keys: np.ndarray, universe: int) -> list[np.ndarray]:
-    """Header, low bits, high bits and directory of ascending distinct ``keys`` (uint64)."""
+    """Header, low bits, high bits and directories of ascending ``keys`` (uint64).
+
+    Keys may repeat; a search then finds any one of the equal keys.
+    """
     count = len(keys)
     width = max(0, min(WINDOW, (universe // max(count, 1)).bit_length() - 1))
     low = keys & np.uint64((1 << width) - 1)
@@ -39,27 +50,26 @@ def encode(keys: np.ndarray, universe: int) -> list[np.ndarray]:
     ones = np.arange(count, dtype=np.int64) + high
     words = np.zeros((count + buckets + 63) // 64 + 2, np.uint64)
     np.bitwise_or.at(words, ones >> 6, np.uint64(1) << (ones & 63).astype(np.uint64))
-    # Zeros before each word: the start of bucket h is behind h zeros.
-    zeros = 64 - np.bitwise_count(words).astype(np.int64)
-    directory = np.zeros(-(-len(words) // 2) * 2, np.uint32)
-    directory[: len(words)] = np.concatenate(([0], np.cumsum(zeros[:-1])))
-    directory[len(words) :] = zeros.sum()
+    # Ones before each word; the start of bucket h is behind h zeros.
+    set_ = np.concatenate(([0], np.cumsum(np.bitwise_count(words).astype(np.int64))))[:-1]
+    zeros = _directory(np.arange(len(words)) * 64 - set_, len(words) * 64 - count)
+    places = _directory(set_, count)
     lows = _pack(low, width)
-    header = np.array([count, width, buckets, len(lows), len(words), len(directory) // 2], np.uint64)
-    return [header, lows, words, directory.view(np.uint64)]
+    header = np.array([count, width, buckets, len(lows), len(words), len(zeros), len(places)], np.uint64)
+    return [header, lows, words, zeros, places]
 
 
 class EliasFano:
     """A mapped or loaded sequence; ``size`` is the number of 64-bit words that it takes."""
 
     def __init__(self, words: np.ndarray):
-        count, width, buckets, lows, highs, samples = words[:HEADER].tolist()
+        count, width, buckets, *sizes = words[:HEADER].tolist()
         self.count, self.width, self.buckets = count, width, buckets
-        ends = np.cumsum([HEADER, lows, highs, samples]).tolist()
+        ends = np.cumsum([HEADER, *sizes]).tolist()
         self.size = ends[-1]
         self.low, self.high = (self._at_bytes(words[a:b]) for a, b in zip(ends[:2], ends[1:3], strict=True))
         self.high_words = words[ends[1] : ends[2]]
-        self.directory = words[ends[2] : ends[3]].view(np.uint32)
+        self.zeros, self.ones = (words[a:b].view(np.uint32) for a, b in zip(ends[2:4], ends[3:], strict=True))
 
     @staticmethod
     def _at_bytes(words: np.ndarray) -> np.ndarray:
@@ -72,32 +82,52 @@ class EliasFano:
         """At least ``WINDOW`` + 1 bits from each bit offset."""
         return source[at >> 3] >> (at & 7).astype(np.uint64)
 
-    def _starts(self, bucket: np.ndarray) -> np.ndarray:
-        """The bit where each bucket starts: behind as many zeros as its number."""
-        word = np.maximum(np.searchsorted(self.directory, bucket.astype(np.uint32)) - 1, 0)
-        need = bucket - self.directory[word]
-        gaps, bit = ~self.high_words[word], np.zeros(len(bucket), np.int64)
-        # The zero that is sought, by halves of the word.
+    @staticmethod
+    def _select(words: np.ndarray, before: np.ndarray, word: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The place of the set bit of each rank, from 1, that lies in ``word``."""
+        need = rank - before[word]
+        bit = np.zeros(len(rank), np.int64)
+        # The bit that is sought, by halves of the word.
         for half in (32, 16, 8, 4, 2, 1):
-            lower = np.bitwise_count(gaps & np.uint64((1 << half) - 1)).astype(np.int64)
+            lower = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.int64)
             beyond = need > lower
             need = np.where(beyond, need - lower, need)
-            gaps = np.where(beyond, gaps >> np.uint64(half), gaps)
+            words = np.where(beyond, words >> np.uint64(half), words)
             bit += np.where(beyond, half, 0)
-        return np.where(bucket > 0, word * 64 + bit + 1, 0)
+        return word * 64 + bit
+
+    @staticmethod
+    def _word_of(before: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        return np.maximum(np.searchsorted(before, rank.astype(np.uint32)) - 1, 0)
+
+    def _starts(self, bucket: np.ndarray) -> np.ndarray:
+        """The bit where each bucket starts: behind as many zeros as its number."""
+        word = self._word_of(self.zeros, bucket)
+        return np.where(bucket > 0, self._select(~self.high_words[word], self.zeros, word, bucket) + 1, 0)
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The keys at places of the sequence."""
+        word = self._word_of(self.ones, places + 1)
+        high = self._select(self.high_words[word], self.ones, word, places + 1) - places
+        low = self._bits(self.low, places * self.width) & np.uint64((1 << self.width) - 1)
+        return (high.astype(np.uint64) << np.uint64(self.width) | low).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key in the sequence, or -1."""
+        return self.find_within(keys, np.zeros(len(keys), np.int64), np.full(len(keys), self.count))
+
+    def find_within(self, keys: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The place of each key in its own range of the sequence, or -1."""
         found = np.full(len(keys), -1, np.int64)
         if not self.count or not len(keys):
             return found
         bucket = (keys >> np.uint64(self.width)).astype(np.int64)
         mask = np.uint64((1 << self.width) - 1)
         # Buckets beyond the last one hold nothing.
-        active = np.flatnonzero(bucket < self.buckets)
+        active = np.flatnonzero((bucket < self.buckets) & (begins < ends))
         bucket, low = bucket[active], keys[active] & mask
-        first = self._starts(bucket) - bucket
-        last = self._starts(bucket + 1) - bucket - 1
+        first = np.maximum(self._starts(bucket) - bucket, begins[active])
+        last = np.minimum(self._starts(bucket + 1) - bucket - 1, ends[active])
         # Low bits ascend within a bucket: halve its range until the successor is left.
         open_ = np.flatnonzero(first < last)
         begin, end = first.copy(), last.copy()

@@ -1,19 +1,28 @@
-"""Scores of texts by a bigram model in an Elias-Fano trie.
-
-The trie has two levels. The first is the vocabulary: 64-bit word hashes in ascending
-order; a word's id is its place. The second holds, for every context in order of its id,
-the words that follow it; context and follower make one ascending key, whose high bits
-point from a context to its range of followers and whose low bits tell the followers of
-that range apart. Both levels are Elias-Fano sequences in files that tasks map into
-memory. Probabilities are interpolated by absolute discounting and kept as one byte each.
+"""Scores of texts by an n-gram model in an Elias-Fano trie.
+
+The first level is the vocabulary: 64-bit word hashes in ascending order; a word's id is its
+place. Each further level holds the followers of the nodes of the level before, in order of
+these nodes. A level is three monotone or packed arrays:
+
+- pointers, an Elias-Fano sequence of where each node's range of followers begins;
+- followers, an Elias-Fano sequence of word ids, each raised by the last value of the range
+  before, so that ranges go on ascending; a follower is found by the successor of its raised
+  id inside the range that the pointers give;
+- one byte for each smoothed probability and, where a node has followers, for its back-off weight.
+
+The trie is cut by the first word of its paths: shards are ranges of the word's hash, and the
+paths from a very frequent word are spread by their second word. Every path lies in one file,
+which tasks map into memory. Probabilities are interpolated by absolute discounting.
 """
 
 from __future__ import annotations
 
+import mmap
 import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +35,24 @@ from tillwright.llm.shingles import WordHashes, words_of
 from tillwright.llm.token_files import local_path
 from tillwright.session import shared_folder
 
+ORDER = 3
 DISCOUNT = 0.75
-TOKENS_AT_ONCE = 1_000_000
+LETTERS_AT_ONCE = 12_000_000
 PAIRS_AT_ONCE = 3_000_000
-#: Followers of a context with so many tokens are spread over as many parts.
+#: There are as many shards as make this much text each, so that a task's share is bounded.
+BYTES_A_SHARD = 64 << 20
+#: Paths from a word with so many tokens are spread over as many parts.
 HOT_CONTEXT, HOT_PARTS = 1_000_000, 64
+#: Ids of words must fit into half a key of 64 bits.
+MOST_WORDS = (1 << 32) - 2
+#: Files that a task holds open at once.
+OPEN_FILES = 256
 #: Codes span this many decades of probability, in equal steps of the logarithm.
 DECADES = 16.0
 END = (1 << 64) - 1
 
 COUNTED = "shard int, part int, keys binary, counts binary"
-BUILT = "shard int, part int, name string, size long, total long, contexts binary, followers binary"
+BUILT = "shard int, part int, size long, total long, contexts binary, followers binary"
 
 
 def codes_of(log10: np.ndarray) -> np.ndarray:
@@ -76,7 +92,7 @@ class Hashes:
         return made, ends
 
 
-def _slices(texts: list[str | None], most: int = 4 * TOKENS_AT_ONCE) -> Iterator[slice]:
+def _slices(texts: list[str | None], most: int = LETTERS_AT_ONCE) -> Iterator[slice]:
     begin = size = 0
     for i, text in enumerate(texts):
         size += len(text or "") + 1
@@ -87,19 +103,17 @@ def _slices(texts: list[str | None], most: int = 4 * TOKENS_AT_ONCE) -> Iterator
         yield slice(begin, len(texts))
 
 
-def _blobs(shard: np.ndarray, part: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """Packed keys and counts of each shard and part; keys ascend within them."""
-    place = shard.astype(np.int64) * HOT_PARTS + part
-    order = np.argsort(place, kind="stable")
-    place, keys, counts = place[order], keys[order], counts[order]
-    cuts = np.flatnonzero(np.diff(place, prepend=-1)) if len(place) else np.empty(0, np.int64)
-    ends = [*cuts[1:], len(place)]
+def _packed_words(key: np.ndarray, count: np.ndarray, shard_bits: int) -> pa.RecordBatch:
+    """Hashes and counts of each shard; hashes ascend within it."""
+    shard = (key >> np.uint64(64 - shard_bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+    ends = [*cuts[1:], len(key)]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(place[cuts] // HOT_PARTS, pa.int32()),
-            pa.array(place[cuts] % HOT_PARTS, pa.int32()),
-            pa.array([keys[a:b].tobytes() for a, b in zip(cuts, ends, strict=False)], pa.binary()),
-            pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, ends, strict=False)], pa.binary()),
+            pa.array(shard[cuts], pa.int32()),
+            pa.array(np.zeros(len(cuts)), pa.int32()),
+            pa.array([key[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+            pa.array([count[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
         ],
         names=["shard", "part", "keys", "counts"],
     )
@@ -110,13 +124,6 @@ def _words(shard_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, keys, counts, waiting = Hashes(), [], [], 0
-
-        def packed() -> pa.RecordBatch:
-            key, count = _merged(keys, counts)
-            keys.clear(), counts.clear()
-            shard = (key >> np.uint64(64 - shard_bits)).astype(np.int32)
-            return _blobs(shard, np.zeros(len(key), np.int32), key, count)
-
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for part in _slices(texts):
@@ -124,29 +131,29 @@ def _words(shard_bits: int):
                 keys.append(key), counts.append(count)
                 waiting += len(key)
                 if waiting > PAIRS_AT_ONCE:
-                    yield packed()
-                    waiting = 0
+                    yield _packed_words(*_merged(keys, counts), shard_bits)
+                    keys, counts, waiting = [], [], 0
         if keys:
-            yield packed()
+            yield _packed_words(*_merged(keys, counts), shard_bits)
 
     return run
 
 
-def _read(blobs: list[bytes], kind) -> list[np.ndarray]:
-    return [np.frombuffer(blob, kind) for blob in blobs]
-
-
 def _write(place: str, name: str, arrays: list[np.ndarray]) -> None:
-    """Arrays of 64-bit words, each after its length."""
-    with open(os.path.join(place, name), "wb") as out:
+    """Arrays of 64-bit words, each after its length; a file appears whole, also if it is written again."""
+    made = os.path.join(place, f"{name}-{uuid.uuid4().hex}")
+    with open(made, "wb") as out:
         for array in arrays:
             words = np.frombuffer(array.tobytes().ljust(-(-array.nbytes // 8) * 8, b"\0"), np.uint64)
             out.write(np.array([len(words)], np.uint64).tobytes())
             out.write(words.tobytes())
+    os.replace(made, os.path.join(place, name))
 
 
 def _sections(place: str, name: str) -> list[np.ndarray]:
-    words, at, found = np.memmap(os.path.join(place, name), np.uint64, "r"), 0, []
+    with open(os.path.join(place, name), "rb") as file:
+        words = np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ), np.uint64)
+    at, found = 0, []
     while at < len(words):
         size = int(words[at])
         found.append(words[at + 1 : at + 1 + size])
@@ -154,42 +161,61 @@ def _sections(place: str, name: str) -> list[np.ndarray]:
     return found
 
 
+def _sequence(keys: np.ndarray, universe: int) -> np.ndarray:
+    return np.concatenate(encode(keys.astype(np.uint64), universe))
+
+
+def _totals(counts: np.ndarray) -> np.ndarray:
+    """Sums of all counts before each one, and of all."""
+    return np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+
+
+def _built(shard: int, part: int, size: int, total: int, contexts: bytes, followers: bytes) -> pa.Table:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    names = [column.split()[0] for column in BUILT.split(", ")]
+    values = [shard, part, size, total, contexts, followers]
+    return pa.table({n: pa.array([v], k) for n, v, k in zip(names, values, kinds, strict=True)})
+
+
 def _build_words(place: str, shard_bits: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         keys, counts = _merged(
-            _read(table["keys"].to_pylist(), np.uint64),
-            [c.astype(np.int64) for c in _read(table["counts"].to_pylist(), np.uint32)],
+            [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()],
+            [np.frombuffer(x, np.uint32).astype(np.int64) for x in table["counts"].to_pylist()],
         )
-        shard, name = key[0].as_py(), f"words-{uuid.uuid4().hex}"
+        shard, total = key[0].as_py(), int(counts.sum())
         within = keys & np.uint64((1 << (64 - shard_bits)) - 1)
-        _write(place, name, [np.concatenate(encode(within, 1 << (64 - shard_bits))), counts.astype(np.uint64)])
-        return _built(shard, 0, name, len(keys), int(counts.sum()), b"", b"")
+        # Counts are the steps of their sums, which ascend.
+        _write(place, f"words-{shard}", [_sequence(within, 1 << (64 - shard_bits)), _sequence(_totals(counts), total)])
+        return _built(shard, 0, len(keys), total, b"", b"")
 
     return run
 
 
-def _built(shard: int, part: int, name: str, size: int, total: int, contexts: bytes, followers: bytes) -> pa.Table:
-    kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    values = [shard, part, name, size, total, contexts, followers]
-    names = [column.split()[0] for column in BUILT.split(", ")]
-    return pa.table({n: pa.array([v], k) for n, v, k in zip(names, values, kinds, strict=True)})
-
-
 @dataclass
 class Layout:
-    """Where the levels are: one entry for each shard, and the sums that scores need."""
+    """Where the levels are: the first id of each shard, and the sums that scores need."""
 
     place: str
+    order: int
     shard_bits: int
-    words: dict[int, tuple[str, int, int]]  # shard: file, first id, words
+    firsts: np.ndarray
     tokens: int
     size: int
-    pairs: dict[tuple[int, int], str]
-    backoff: dict[int, str]
 
-    @property
-    def id_bits(self) -> int:
-        return max(1, (self.size + 1).bit_length())
+
+class Level:
+    """The followers of a level's nodes in one file."""
+
+    def __init__(self, pointers: np.ndarray, followers: np.ndarray, codes: np.ndarray, weights: np.ndarray):
+        self.pointers, self.followers = EliasFano(pointers), EliasFano(followers)
+        self.codes, self.weights = codes.view(np.uint8), weights.view(np.uint8)
+
+    def find(self, nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The place of each word among the followers of its node, or -1."""
+        begins, ends = self.pointers.at(nodes), self.pointers.at(nodes + 1)
+        raised = np.where(begins > 0, self.followers.at(np.maximum(begins - 1, 0)), 0) + words + 1
+        return self.followers.find_within(raised.astype(np.uint64), begins, ends)
 
 
 class Trie:
@@ -197,18 +223,29 @@ class Trie:
 
     def __init__(self, layout: Layout):
         self.layout = layout
-        self.levels: dict[int, tuple[EliasFano, np.ndarray]] = {}
-        self.pairs: dict[tuple[int, int], tuple[EliasFano, np.ndarray]] = {}
-        self.backoffs: dict[int, np.ndarray] = {}
-        starts = sorted((first, shard) for shard, (_, first, _) in layout.words.items())
-        self.firsts = np.array([first for first, _ in starts], np.int64)
-        self.shards = np.array([shard for _, shard in starts], np.int64)
-
-    def level(self, shard: int) -> tuple[EliasFano, np.ndarray]:
-        if shard not in self.levels:
-            sequence, counts = _sections(self.layout.place, self.layout.words[shard][0])
-            self.levels[shard] = EliasFano(sequence), counts
-        return self.levels[shard]
+        self.level = lru_cache(OPEN_FILES)(self._level)
+        self.branches = lru_cache(OPEN_FILES)(self._branches)
+        self.weights = lru_cache(OPEN_FILES)(self._weights)
+
+    def _level(self, shard: int) -> tuple[EliasFano, EliasFano] | None:
+        if not (bounds := self.layout.firsts[shard : shard + 2])[0] < bounds[1]:
+            return None
+        hashes, totals = _sections(self.layout.place, f"words-{shard}")
+        return EliasFano(hashes), EliasFano(totals)
+
+    def _branches(self, file: int) -> tuple[EliasFano, list[Level]] | None:
+        """The first words of a file's paths, and its levels; None if there is no such path."""
+        if not os.path.exists(os.path.join(self.layout.place, f"paths-{file}")):
+            return None
+        roots, *rest = _sections(self.layout.place, f"paths-{file}")
+        return EliasFano(roots), [Level(*rest[i : i + 4]) for i in range(0, len(rest), 4)]
+
+    def _weights(self, shard: int) -> np.ndarray:
+        return _sections(self.layout.place, f"weights-{shard}")[0].view(np.uint8)
+
+    def counts(self, shard: int) -> np.ndarray:
+        totals = self.level(shard)[1]
+        return np.diff(totals.at(np.arange(totals.count)))
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id and count of each hash; -1 and 0 for unknown words."""
@@ -216,46 +253,55 @@ class Trie:
         bits = self.layout.shard_bits
         shard = (hashes >> np.uint64(64 - bits)).astype(np.int64)
         for own, rows in _by_value(shard):
-            if own in self.layout.words:
-                sequence, held = self.level(own)
-                at = sequence.find(hashes[rows] & np.uint64((1 << (64 - bits)) - 1))
+            if held := self.level(own):
+                at = held[0].find(hashes[rows] & np.uint64((1 << (64 - bits)) - 1))
                 rows, at = rows[at >= 0], at[at >= 0]
-                ids[rows] = at + self.layout.words[own][1]
-                counts[rows] = held[at]
+                ids[rows] = at + self.layout.firsts[own]
+                counts[rows] = held[1].at(at + 1) - held[1].at(at)
         return ids, counts
 
     def shard_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shard of each word id and its place there."""
-        at = np.searchsorted(self.firsts, ids, "right") - 1
-        return self.shards[at], ids - self.firsts[at]
+        shard = np.searchsorted(self.layout.firsts, ids, "right") - 1
+        return shard, ids - self.layout.firsts[shard]
+
+    def files_of(self, firsts: np.ndarray, hot: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The file that holds a path, by its first two words, and the first word's place in its shard."""
+        shard, place = self.shard_of(firsts)
+        part = np.where(hot, 1 + seconds * HOT_PARTS // (self.layout.size + 1), 0)
+        return shard * (HOT_PARTS + 1) + part, place
 
-    def backoff(self, ids: np.ndarray) -> np.ndarray:
-        """The weight of the first level in each context."""
+    def weights_of(self, ids: np.ndarray) -> np.ndarray:
+        """The weight of the first level behind each word."""
         found = np.empty(len(ids))
         shard, place = self.shard_of(ids)
         for own, rows in _by_value(shard):
-            if own not in self.backoffs:
-                self.backoffs[own] = _sections(self.layout.place, self.layout.backoff[own])[0].view(np.uint8)
-            found[rows] = 10 ** values_of(self.backoffs[own][place[rows]])
+            found[rows] = 10 ** values_of(self.weights(own)[place[rows]])
         return found
 
-    def follows(self, contexts: np.ndarray, hot: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Discounted probability of each word after its context; 0 where it never followed."""
-        found = np.zeros(len(words))
-        shard, place = self.shard_of(contexts)
-        part = parts_of(words, hot, self.layout.size)
-        key = place.astype(np.uint64) << np.uint64(self.layout.id_bits) | words.astype(np.uint64)
-        for own, rows in _by_value(shard * HOT_PARTS + part):
-            name = (own // HOT_PARTS, own % HOT_PARTS)
-            if name in self.layout.pairs:
-                if name not in self.pairs:
-                    sequence, codes = _sections(self.layout.place, self.layout.pairs[name])
-                    self.pairs[name] = EliasFano(sequence), codes.view(np.uint8)
-                sequence, codes = self.pairs[name]
-                at = sequence.find(key[rows])
-                found[rows[at >= 0]] = 10 ** values_of(codes[at[at >= 0]])
+    def roots(self, files: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The node of a path's first word in its file, or -1."""
+        found = np.full(len(files), -1, np.int64)
+        for own, rows in _by_value(files):
+            if held := self.branches(own):
+                found[rows] = held[0].find(places[rows].astype(np.uint64))
         return found
 
+    def follow(self, depth: int, files: np.ndarray, nodes: np.ndarray, words: np.ndarray):
+        """Node, discounted probability and back-off weight of each word behind its node on
+        the level of ``depth`` words; -1, 0 and 1 where it never followed."""
+        found = np.full(len(files), -1, np.int64)
+        chance, weight = np.zeros(len(files)), np.ones(len(files))
+        known = np.flatnonzero(nodes >= 0)
+        for own, rows in _by_value(files[known]):
+            rows, level = known[rows], self.branches(own)[1][depth - 1]
+            at = level.find(nodes[rows], words[rows])
+            rows, at = rows[at >= 0], at[at >= 0]
+            found[rows], chance[rows] = at, 10 ** values_of(level.codes[at])
+            if len(level.weights):
+                weight[rows] = 10 ** values_of(level.weights[at])
+        return found, chance, weight
+
 
 def _by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(values, kind="stable")
@@ -265,11 +311,6 @@ def _by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(ordered[a]), order[a:b]
 
 
-def parts_of(words: np.ndarray, hot: np.ndarray, size: int) -> np.ndarray:
-    """The part that holds a follower: by its id if the context is hot, else the first."""
-    return np.where(hot, words * HOT_PARTS // (size + 1), 0)
-
-
 class Tokens:
     """Texts as word ids with their counts, by a memory of lately seen words."""
 
@@ -283,123 +324,238 @@ class Tokens:
         return ids[place], counts[place], ends
 
 
-def _contexts(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The id before each token; a text starts after an end, that is in the end's context."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[np.concatenate(([0], ends[:-1]))] = ids[ends - 1]
-    return before
+def _opened(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The tokens of each text behind one end, which opens it as a context."""
+    starts = np.concatenate(([0], ends[:-1]))
+    return np.insert(values, starts, values[ends - 1])
+
 
+def _steps(ends: np.ndarray) -> np.ndarray:
+    """How many tokens have come before each place of opened texts; 0 where a text opens."""
+    sizes = np.diff(ends, prepend=0) + 1
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
-def _pairs(shared):
-    """Counts of context and follower, packed by shard of the context."""
+
+def _distinct(parents: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct nodes in order of parent and word, and the place of each row among them."""
+    key = parents.astype(np.uint64) << np.uint64(32) | words.astype(np.uint64)
+    nodes, place = np.unique(key, return_inverse=True)
+    return (nodes >> np.uint64(32)).astype(np.int64), (nodes & np.uint64((1 << 32) - 1)).astype(np.int64), place
+
+
+def _packed_paths(trie: Trie, ids: np.ndarray, seen: np.ndarray, step: np.ndarray) -> pa.RecordBatch:
+    """The paths of opened texts as one small trie for each file.
+
+    A small trie is an array of unsigned integers: the number of nodes on each level, the first
+    words' places in their shard, and for each further level how many nodes follow each node
+    of the level before, the words and their counts.
+    """
+    order = trie.layout.order
+    begin = np.flatnonzero(step[1:] > 0)
+    file, place = trie.files_of(ids[begin], seen[begin] >= HOT_CONTEXT, ids[begin + 1])
+    files, roots, node = _distinct(file, place)
+    levels, size = [], len(roots)
+    for depth in range(1, order):
+        if depth > 1:
+            # A path goes on only within its text.
+            goes_on = np.flatnonzero(begin + depth < len(ids))
+            goes_on = goes_on[step[begin[goes_on] + depth] == step[begin[goes_on]] + depth]
+            begin, node = begin[goes_on], node[goes_on]
+        parent, word, node = _distinct(node, ids[begin + depth])
+        levels.append((np.bincount(parent, minlength=size), word, np.bincount(node, minlength=len(word))))
+        size = len(word)
+    cuts = np.flatnonzero(np.diff(files, prepend=-1))
+    bounds = [np.append(cuts, len(files))]
+    for fans, _, _ in levels:
+        bounds.append(_totals(fans)[bounds[-1]])
+    roots = roots.astype(np.uint32)
+    levels = [tuple(array.astype(np.uint32) for array in level) for level in levels]
+    blobs = []
+    for i in range(len(cuts)):
+        own = [slice(at[i], at[i + 1]) for at in bounds]
+        arrays = [np.array([x.stop - x.start for x in own], np.uint32), roots[own[0]]]
+        for (fans, word, count), above, here in zip(levels, own, own[1:], strict=False):
+            arrays += [fans[above], word[here], count[here]]
+        blobs.append(np.concatenate(arrays).tobytes())
+    at = files[cuts]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(at // (HOT_PARTS + 1), pa.int32()),
+            pa.array(at % (HOT_PARTS + 1), pa.int32()),
+            pa.array(blobs, pa.binary()),
+            pa.array([b""] * len(blobs), pa.binary()),
+        ],
+        names=["shard", "part", "keys", "counts"],
+    )
+
+
+def _paths(shared):
+    """Counts of all paths of the texts, packed by the file they go to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(shared.value)
-        tokens, keys, counts, waiting = Tokens(trie), [], [], 0
-        bits = np.uint64(trie.layout.id_bits)
-        is_hot: dict[int, bool] = {}
-
-        def packed() -> pa.RecordBatch:
-            key, count = _merged(keys, counts)
-            keys.clear(), counts.clear()
-            context, word = (key >> bits).astype(np.int64), (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-            shard, place = trie.shard_of(context)
-            part = parts_of(word, np.isin(context, list(is_hot)), trie.layout.size)
-            return _blobs(shard, part, place.astype(np.uint64) << bits | word.astype(np.uint64), count)
-
+        tokens = Tokens(trie)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for part in _slices(texts):
                 ids, seen, ends = tokens.of(texts[part])
-                is_hot.update(dict.fromkeys(np.unique(ids[seen >= HOT_CONTEXT]).tolist(), True))
-                key, count = np.unique(_contexts(ids, ends).astype(np.uint64) << bits | ids.astype(np.uint64), return_counts=True)
-                keys.append(key), counts.append(count)
-                waiting += len(key)
-                if waiting > PAIRS_AT_ONCE:
-                    yield packed()
-                    waiting = 0
-        if keys:
-            yield packed()
+                yield _packed_paths(trie, _opened(ids, ends), _opened(seen, ends), _steps(ends))
 
     return run
 
 
-def _build_pairs(shared):
+def _united(blobs: list[bytes], order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Small tries as one: its first words, and parents, words and counts of each further level."""
+    tries = [np.frombuffer(blob, np.uint32) for blob in blobs]
+    sizes = np.array([trie[:order] for trie in tries], np.int64)
+    at = [order] * len(tries)
+
+    def take(depth: int) -> np.ndarray:
+        pieces = []
+        for i, trie in enumerate(tries):
+            pieces.append(trie[at[i] : at[i] + sizes[i, depth]])
+            at[i] += sizes[i, depth]
+        return np.concatenate(pieces).astype(np.int64)
+
+    roots, node = np.unique(take(0), return_inverse=True)
+    levels = []
+    for depth in range(1, order):
+        above = np.repeat(node, take(depth - 1))
+        words, counts = take(depth), take(depth)
+        parent, word, node = _distinct(above, words)
+        total = np.zeros(len(word), np.int64)
+        np.add.at(total, node, counts)
+        levels.append((parent, word, total))
+    return roots, levels
+
+
+def _raised(parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Each word plus one above the last value of the range before its own."""
+    if not len(parent):
+        return word
+    last = np.append(parent[1:] != parent[:-1], True)
+    steps = np.where(last, word + 1, 0)
+    return np.cumsum(steps) - steps + word + 1
+
+
+def _build_paths(shared):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         layout: Layout = shared.value
         shard, part = key[0].as_py(), key[1].as_py()
-        keys, counts = _merged(
-            _read(table["keys"].to_pylist(), np.uint64),
-            [c.astype(np.int64) for c in _read(table["counts"].to_pylist(), np.uint32)],
-        )
-        place = (keys >> np.uint64(layout.id_bits)).astype(np.int64)
-        seen = Trie(layout).level(shard)[1]
-        codes = codes_of(np.log10(np.maximum(counts - DISCOUNT, 1e-9) / seen[place]))
-        name = f"pairs-{uuid.uuid4().hex}"
-        universe = layout.words[shard][2] << layout.id_bits
-        _write(layout.place, name, [np.concatenate(encode(keys, universe)), codes])
-        contexts, followers = np.unique(place, return_counts=True)
-        return _built(shard, part, name, len(keys), int(counts.sum()), contexts.tobytes(), followers.tobytes())
+        roots, levels = _united(table["keys"].to_pylist(), layout.order)
+        size = int(layout.firsts[shard + 1] - layout.firsts[shard])
+        arrays, above = [_sequence(roots, size)], Trie(layout).counts(shard)[roots]
+        for depth, (parent, word, count) in enumerate(levels, 1):
+            raised = _raised(parent, word)
+            codes = codes_of(np.log10((count - DISCOUNT) / above[parent]))
+            weights = np.empty(0, np.uint8)
+            if depth < len(levels):
+                fans = np.bincount(levels[depth][0], minlength=len(word))
+                weights = codes_of(np.log10(np.maximum(DISCOUNT * fans / count, 1e-300)))
+            pointers = _totals(np.bincount(parent, minlength=len(above)))
+            universe = int(raised[-1]) + 1 if len(raised) else 1
+            arrays += [_sequence(pointers, len(word) + 1), _sequence(raised, universe), codes, weights]
+            above = count
+        _write(layout.place, f"paths-{shard * (HOT_PARTS + 1) + part}", arrays)
+        followers = np.bincount(levels[0][0], minlength=len(roots))
+        return _built(shard, part, len(roots), 0, roots.tobytes(), followers.astype(np.int64).tobytes())
 
     return run
 
 
-def _build_backoff(shared):
+def _build_weights(shared):
+    """Back-off weights of the first level; a frequent word's followers lie in several files."""
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         layout: Layout = shared.value
         shard = key[0].as_py()
-        seen = np.asarray(Trie(layout).level(shard)[1]).astype(np.float64)
+        seen = Trie(layout).counts(shard)
         distinct = np.zeros(len(seen))
         for contexts, followers in zip(table["contexts"].to_pylist(), table["followers"].to_pylist(), strict=True):
             distinct[np.frombuffer(contexts, np.int64)] += np.frombuffer(followers, np.int64)
-        name = f"backoff-{uuid.uuid4().hex}"
-        _write(layout.place, name, [codes_of(np.log10(np.maximum(DISCOUNT * distinct / seen, 1e-300)))])
-        return _built(shard, 0, name, len(seen), 0, b"", b"")
+        _write(layout.place, f"weights-{shard}", [codes_of(np.log10(np.maximum(DISCOUNT * distinct / seen, 1e-300)))])
+        return _built(shard, 0, len(seen), 0, b"", b"")
 
     return run
 
 
-def train(texts: DataFrame) -> Layout:
+def train(texts: DataFrame, order: int = ORDER) -> Layout:
     """Build the trie of all rows of ``texts(text)`` in files of the shared folder.
 
-    Words are counted in ranges of their hash, pairs in the range of their context; a
-    context with very many tokens is spread by follower, so no task gathers it. Counts are
-    combined in each task before they are shuffled. Only names and sizes of the files come
-    to the driver.
+    ``order`` is the number of words of the longest paths, two at least. Words are counted in
+    ranges of their hash, paths in the range of their first word, of which there are as many
+    as the length of all texts asks for. Counts are combined in each task before they are
+    shuffled, so what a range gets of one path is at most one count for each chunk of texts.
+    Only the sizes of the ranges come to the driver.
     """
+    if order < 2:
+        raise ValueError("a path has two words at least")
     spark = texts.sparkSession
-    folder = shared_folder(spark, "ngram-trie")
-    place = local_path(folder)
+    place = local_path(shared_folder(spark, "ngram-trie"))
     os.makedirs(place, exist_ok=True)
-    bits = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    counted = texts.select("text").mapInArrow(_words(bits), COUNTED)
+    letters = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), letters // BYTES_A_SHARD + 1)
+    bits = max(1, (shards - 1).bit_length())
+    counted = texts.select("text").mapInArrow(_words(bits), COUNTED).repartition(1 << bits, "shard")
     built = staged(counted.groupBy("shard").applyInArrow(_build_words(place, bits), BUILT), "ngram-words")
-    words, first, total = {}, 0, 0
-    for row in sorted(built.select("shard", "name", "size", "total").collect()):
-        words[row["shard"]] = (row["name"], first, row["size"])
-        first, total = first + row["size"], total + row["total"]
-    layout = Layout(place, bits, words, total, first, {}, {})
-    if not words:
+    sizes, total = np.zeros(1 << bits, np.int64), 0
+    for row in built.select("shard", "size", "total").collect():
+        sizes[row["shard"]] = row["size"]
+        total += row["total"]
+    layout = Layout(place, order, bits, _totals(sizes), total, int(sizes.sum()))
+    if layout.size > MOST_WORDS:
+        raise ValueError(f"{layout.size} distinct words do not fit into 32 bits")
+    if not total:
         return layout
     shared = spark.sparkContext.broadcast(layout)
-    pairs = texts.select("text").mapInArrow(_pairs(shared), COUNTED)
-    built = staged(pairs.groupBy("shard", "part").applyInArrow(_build_pairs(shared), BUILT), "ngram-pairs")
-    weights = staged(built.groupBy("shard").applyInArrow(_build_backoff(shared), BUILT), "ngram-backoff")
-    for row in built.select("shard", "part", "name").collect():
-        layout.pairs[row["shard"], row["part"]] = row["name"]
-    for row in weights.select("shard", "name").collect():
-        layout.backoff[row["shard"]] = row["name"]
+    paths = texts.select("text").mapInArrow(_paths(shared), COUNTED).repartition(1 << bits, "shard", "part")
+    built = staged(paths.groupBy("shard", "part").applyInArrow(_build_paths(shared), BUILT), "ngram-paths")
+    # Written only for its files.
+    staged(built.groupBy("shard").applyInArrow(_build_weights(shared), BUILT), "ngram-weights")
     return layout
 
 
+def _chances(trie: Trie, ids: np.ndarray, seen: np.ndarray, step: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """The probability of each token of opened texts after the tokens before it.
+
+    ``single`` is that of the token alone. Each longer context that was seen takes the
+    shorter one's probability times its weight and adds its own discounted one.
+    """
+    chance = single.copy()
+    begin = np.flatnonzero((step[1:] > 0) & (ids[:-1] >= 0))
+    distinct, place = np.unique(ids[begin], return_inverse=True)
+    weight = trie.weights_of(distinct)[place] if len(begin) else np.empty(0)
+    file = node = None
+    for depth in range(1, trie.layout.order):
+        chance[begin + depth] *= weight
+        known = np.flatnonzero(ids[begin + depth] >= 0)
+        begin = begin[known]
+        if depth == 1:
+            firsts, words, place = _distinct(ids[begin], ids[begin + 1])
+            hot = np.zeros(len(firsts), bool)
+            hot[place] = seen[begin] >= HOT_CONTEXT
+            files, roots = trie.files_of(firsts, hot, words)
+            nodes = trie.roots(files, roots)
+        else:
+            parents, words, place = _distinct(node[known], ids[begin + depth])
+            files, nodes = file[parents], held[parents]
+        held, added, weights = trie.follow(depth, files, nodes, words)
+        chance[begin + depth] += added[place]
+        # Paths that were seen go on, within their text.
+        goes_on = (held[place] >= 0) & (begin + depth + 1 < len(ids))
+        goes_on[goes_on] = step[begin[goes_on] + depth + 1] == step[begin[goes_on]] + depth + 1
+        begin, node, file = begin[goes_on], place[goes_on], files
+        weight = weights[node]
+    return chance
+
+
 def score_documents(df: DataFrame, layout: Layout, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     Tokens are words and one end; a null text is its end alone. ``base_score`` adds one to
-    every count; ``score`` is the log10 probability of the text under the bigram model,
-    whose first level gives an unknown word the mass of discounts on one more word. With
-    nothing to learn from both are 0 for every text. Ids may be null or repeated.
+    every count; ``score`` is the log10 probability of the text under the model, whose first
+    level gives an unknown word the mass of discounts on one more word. With nothing to learn
+    from both are 0 for every text. Ids may be null or repeated.
     """
     shared = df.sparkSession.sparkContext.broadcast(layout)
     columns = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -408,8 +564,6 @@ def score_documents(df: DataFrame, layout: Layout, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(shared.value)
         tokens, total, size = Tokens(trie), shared.value.tokens, shared.value.size
-        bits = np.uint64(shared.value.id_bits)
-        unseen = size  # one id beyond the vocabulary
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for part in _slices(texts):
@@ -418,19 +572,9 @@ def score_documents(df: DataFrame, layout: Layout, id_col: str = "doc_id", text_
                 base = np.log10((seen + 1) / (total + size + 1))
                 # The first level: discounted counts, and what they leave shared by all words.
                 rest = DISCOUNT * size / total / (size + 1) if total else 1.0
-                single = np.maximum(seen - DISCOUNT, 0) / max(total, 1) + rest
-                before = _contexts(ids, ends)
-                key = np.where(before < 0, unseen, before).astype(np.uint64) << bits | np.where(ids < 0, unseen, ids).astype(np.uint64)
-                distinct, where, place = np.unique(key, return_index=True, return_inverse=True)
-                context, word, chance = before[where], ids[where], single[where].copy()
-                known = np.flatnonzero(context >= 0)
-                if len(known):
-                    chance[known] *= trie.backoff(context[known])
-                both = known[word[known] >= 0]
-                if len(both):
-                    hot = _counts_before(seen, ends)[where[both]] >= HOT_CONTEXT
-                    chance[both] += trie.follows(context[both], hot, word[both])
-                score = np.log10(chance)[place]
+                opened, step = _opened(seen, ends), _steps(ends)
+                single = np.maximum(opened - DISCOUNT, 0) / max(total, 1) + rest
+                score = np.log10(_chances(trie, _opened(ids, ends), opened, step, single)[step > 0])
                 n = ends - starts
                 values = [
                     pa.array(n, pa.int64()),
@@ -445,13 +589,12 @@ def score_documents(df: DataFrame, layout: Layout, id_col: str = "doc_id", text_
     return texts.mapInArrow(run, f"doc_id long, {columns}")
 
 
-def _counts_before(seen: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return _contexts(seen, ends)
-
+def language_model_report(df: DataFrame, folds: int = 7, fold: int = 2, order: int = ORDER) -> DataFrame:
+    """Scores of all documents by a model of those whose id is not in the held-out fold.
 
-def language_model_report(df: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
-    """Scores of all documents by a model of those whose id is not in the held-out fold."""
+    A document without an id is learnt from; a repeated row counts each time it occurs.
+    """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold, F.lit(False))
-    layout = train(df.where(~held).select("text"))
+    layout = train(df.where(~held).select("text"), order)
     scored = score_documents(df, layout)
     return scored.select("doc_id", held.alias("held_out"), *scored.columns[1:])
