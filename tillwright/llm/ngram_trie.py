@@ -37,7 +37,7 @@ from tillwright.session import shared_folder
 
 ORDER = 3
 DISCOUNT = 0.75
-LETTERS_AT_ONCE = 12_000_000
+LETTERS_AT_ONCE = 4_000_000
 PAIRS_AT_ONCE = 3_000_000
 #: There are as many shards as make this much text each, so that a task's share is bounded.
 BYTES_A_SHARD = 64 << 20
@@ -45,8 +45,8 @@ BYTES_A_SHARD = 64 << 20
 HOT_CONTEXT, HOT_PARTS = 1_000_000, 64
 #: Ids of words must fit into half a key of 64 bits.
 MOST_WORDS = (1 << 32) - 2
-#: Files that a task holds open at once.
-OPEN_FILES = 256
+#: Files of a kind that a task holds mapped at once; pages of more would count as its memory.
+OPEN_FILES = 16
 #: Codes span this many decades of probability, in equal steps of the logarithm.
 DECADES = 16.0
 END = (1 << 64) - 1
@@ -213,9 +213,13 @@ class Level:
 
     def find(self, nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
         """The place of each word among the followers of its node, or -1."""
-        begins, ends = self.pointers.at(nodes), self.pointers.at(nodes + 1)
-        raised = np.where(begins > 0, self.followers.at(np.maximum(begins - 1, 0)), 0) + words + 1
-        return self.followers.find_within(raised.astype(np.uint64), begins, ends)
+        # Rows of one node stand together, so its range is read once.
+        first = np.flatnonzero(np.diff(nodes, prepend=-1))
+        own, times = nodes[first], np.diff(first, append=len(nodes))
+        begins, ends = self.pointers.at(own), self.pointers.at(own + 1)
+        before = np.where(begins > 0, self.followers.at(np.maximum(begins - 1, 0)), 0)
+        begins, ends, before = (np.repeat(x, times) for x in (begins, ends, before))
+        return self.followers.find_within((before + words + 1).astype(np.uint64), begins, ends)
 
 
 class Trie:
