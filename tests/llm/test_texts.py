@@ -86,6 +86,37 @@ def test_no_documents(spark):
     assert drop_repeated_lines(empty).collect() == []
 
 
+def test_sketches_differ_by_no_more_than_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.empty(0, np.uint64)]
+    for size in (1, 3, 100, 128, 129, 135, 900, 1_030, 20_000, 40_000):
+        own = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        near = np.concatenate([own[: -(-size * 9 // 10)], rng.integers(0, 1 << 63, size // 20, dtype=np.uint64)])
+        # Buckets of the last one hold more than a byte tells.
+        sets += [np.unique(own), np.unique(near), np.unique(own << np.uint64(7))]
+    sketches = trie_join.Sketches([trie_join.sketch(s) for s in sets])
+    assert len(sketches.levels) > 4
+    for i in range(len(sets)):
+        others = np.array([j for j in range(len(sets)) if j != i])
+        for j, apart in zip(others, sketches.apart(i, others), strict=True):
+            assert apart <= len(np.setxor1d(sets[i], sets[j]))
+    unlike = sketches.apart(len(sets) - 3, np.array([len(sets) - 6]))
+    assert unlike[0] > 20_000
+
+
+def test_copies_take_the_smallest_id_of_their_component(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = " ".join([*base[:-1], "other"])
+    rows = [(i, " ".join(base)) for i in range(50, 90)] + [(i, near) for i in range(20, 40)]
+    rows += [(7, "copied twice and no more"), (9, "Copied twice  and no more"), (9, "Copied twice  and no more")]
+    rows += [(5, "alone"), (None, "alone"), (None, " ".join(base)), (3, None), (4, None), (2, ""), (None, None)]
+    df = spark.createDataFrame([(*row, 0, "") for row in rows], SCHEMA).repartition(4)
+    got = Counter((r.doc_id, r.component_id) for r in trie_join.similar_documents(df).collect())
+    expected = Counter({(i, 20): 1 for i in [*range(50, 90), *range(20, 40)]})
+    expected += Counter({(7, 7): 1, (9, 7): 2, (5, 5): 1, (None, None): 3, (3, 3): 1, (4, 4): 1, (2, 2): 1})
+    assert got == expected
+
+
 def test_tries_find_what_pairs_find():
     rng = random.Random(1)
     similar = trie_join.Similarity(70, 100)

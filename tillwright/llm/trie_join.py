@@ -32,6 +32,8 @@ SEGMENT = 4096
 POSTINGS_PER_BUCKET = 2_000_000
 HOT_WEIGHT = 100_000
 GROUP = 1024
+#: A sketch has a power of two of buckets, at most so many, of four to eight shingles each.
+LEAST_BUCKETS, MOST_BUCKETS = 16, 4096
 
 DESCRIBED = "doc_id long, class long, n_shingles long, segment int, counts binary"
 POSTED = "bucket int, keys binary, classes binary"
@@ -273,9 +275,48 @@ def trie_links(sets: list[np.ndarray], known: list[int], similar: Similarity) ->
     return links
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each bucket, at most 255, in buckets that grow in number
+    with the set."""
+    width = LEAST_BUCKETS
+    while width < MOST_BUCKETS and width * 8 < len(shingles):
+        width *= 2
+    counts = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+class Sketches:
+    """Sketches of many sets. Two are compared by the buckets of the narrower one, into which
+    the wider one is folded; they never differ by more than their sets do."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.widths = np.array([len(blob) for blob in blobs])
+        self.levels = {}
+        for width in np.unique(self.widths).tolist():
+            own = np.flatnonzero(self.widths >= width)
+            rows = np.full(len(blobs), -1)
+            rows[own] = np.arange(len(own))
+            folded = np.empty((len(own), width), np.int16)
+            for at, i in enumerate(own):
+                counts = np.frombuffer(blobs[i], np.uint8)
+                if len(counts) > width:
+                    counts = np.minimum(counts.reshape(-1, width).sum(axis=0, dtype=np.int64), 255)
+                folded[at] = counts
+            self.levels[width] = rows, folded
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        """By how much the sketch of ``i`` differs from each of ``others``."""
+        shared = np.minimum(self.widths[others], self.widths[i])
+        found = np.empty(len(others), np.int64)
+        for width in np.unique(shared).tolist() if len(self.levels) > 1 else self.levels:
+            rows, folded = self.levels[width]
+            at = shared == width
+            found[at] = np.abs(folded[rows[others[at]]] - folded[rows[i]]).sum(axis=1)
+        return found
+
+
 def _sketch(size: int):
-    """Size and sketch of the set of every text: how many shingles fall into each of 256
-    buckets. The sketches of two sets never differ by more than the sets do."""
+    """Size and sketch of the set of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -285,9 +326,8 @@ def _sketch(size: int):
                 shingles = shingler.set_of(text)
                 # Another text under the same id is not of this class.
                 own.append(bool(len(shingles)) and fingerprint(shingles) == number)
-                counts = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256)
                 sizes.append(len(shingles))
-                sketches.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                sketches.append(sketch(shingles))
             made = pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())],
                 names=["class", "text", "size", "sketch"],
@@ -320,15 +360,17 @@ def _promising(similar: Similarity):
             classes = np.array(list(rows), np.int64)
             labels = np.array([row[0] for row in rows.values()], np.int64)
             sizes = np.array([row[1] for row in rows.values()], np.int64)
-            sketches = np.frombuffer(b"".join(row[2] for row in rows.values()), np.uint8)
-            sketches = sketches.reshape(-1, 256).astype(np.int16)
+            sketches = Sketches([row[2] for row in rows.values()])
             kept = np.zeros(len(classes), bool)
             for i in range(len(classes)):
                 others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
                 both = sizes[i] + sizes[others]
                 room = both - 2 * similar.overlap(sizes[i], sizes[others])
-                others, room = others[abs(sizes[others] - sizes[i]) <= room], room[abs(sizes[others] - sizes[i]) <= room]
-                near = others[np.abs(sketches[others] - sketches[i]).sum(axis=1) <= room]
+                alike = abs(sizes[others] - sizes[i]) <= room
+                if not alike.any():
+                    continue
+                others, room = others[alike], room[alike]
+                near = others[sketches.apart(i, others) <= room]
                 if len(near):
                     kept[i] = kept[near] = True
             if kept.any():
@@ -398,8 +440,10 @@ def similar_documents(
     members = staged(posted.groupBy("bucket").applyInArrow(_shared(weights), MEMBERS), "shingle-members")
 
     # The text of one document of each class that shares a key.
-    reps = described.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    wanted = staged(reps.join(members.select("class").distinct(), "class", "left_semi"), "shingle-wanted")
+    reps = described.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class")
+    reps = staged(reps.agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "shingle-classes")
+    wanted = reps.join(members.select("class").distinct(), "class", "left_semi").select("class", "doc_id")
+    wanted = staged(wanted, "shingle-wanted")
     texts = docs.join(small_side(wanted), "doc_id").select("class", "text")
     texts = staged(texts.mapInArrow(_sketch(words), SKETCHED), "shingle-texts")
 
@@ -458,12 +502,15 @@ def similar_documents(
         .withColumns({"own": block, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
         .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     )
-    joined = components(links.union(linked(rest)))
-    by_class = described.join(joined.withColumnRenamed("id", "class"), "class", "left")
-    root = F.coalesce("component_id", "class")
-    by_class = by_class.select("doc_id", "n_shingles", root.alias("root"))
-    smallest = by_class.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return by_class.join(smallest, "root", "left").select(
+    joined = components(links.union(linked(rest))).withColumnRenamed("id", "class")
+    # Smallest ids of classes, then of components of classes: no join has a component as its
+    # key, and only classes of several documents or with links take part in the last one.
+    ids = reps.join(joined, "class")
+    smallest = ids.groupBy("component_id").agg(F.min("doc_id").alias("smallest"))
+    of_class = joined.join(smallest, "component_id").select("class", "smallest")
+    of_class = reps.join(of_class, "class", "left").where("copies > 1 OR smallest IS NOT NULL")
+    of_class = staged(of_class.select("class", F.coalesce("smallest", "doc_id").alias("smallest")), "shingle-firsts")
+    return described.join(small_side(of_class), "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id")).alias("component_id"),
     )
