@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwright.functions.identity import masked, pseudonym
 from tillwright.functions.payments import storage_payment
+from tillwright.session import partitions_for
 
 
 def row_checks(rows: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
@@ -128,7 +129,11 @@ def _written(columns: Sequence[Column]) -> Column:
     return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts])
 
 
-def constraint_report(tables: Sequence[Checked]) -> DataFrame:
+# Rows of a rule or a foreign key are counted in so many parts first.
+SALTS = 64
+
+
+def constraint_report(tables: Sequence[Checked], rows: int | None = None) -> DataFrame:
     """``check, table, violations`` of every constraint of some tables, from one scan of each.
 
     A row tells the rules it breaks, the keys it holds and the keys it points to; one
@@ -136,6 +141,11 @@ def constraint_report(tables: Sequence[Checked]) -> DataFrame:
     many rows hold it and how many point to it. A unique check counts keys held more than once,
     a foreign check the rows that point to a key nobody holds. Keys with a null are neither
     held nor pointed to. Foreign keys are compared in the type of what they point to.
+
+    ``rows`` is how many rows the tables have, about; they are counted if it is not given. Keys
+    of many rows go to as many tasks as keep the keys of a task few. They are not combined
+    before that, which fills memory with keys that never repeat; a rule or a foreign key of
+    very many rows is counted in parts instead.
     """
     spaces = {(t.name, check): i for i, t in enumerate(tables) for check in t.unique}
     spaces = {space: i for i, space in enumerate(spaces)}
@@ -161,9 +171,20 @@ def constraint_report(tables: Sequence[Checked]) -> DataFrame:
         if events:
             frames.append(table.rows.select(F.inline(F.array_compact(F.array(*events)))))
     sides = [F.count_if(F.col("side") == i).alias(f"points_{i}") for i in pointing.values()]
-    counted = reduce(DataFrame.unionByName, frames).groupBy("space", "key").agg(
-        F.count_if(F.col("side") == PARENT).alias("holds"), *sides
-    )
+    told = reduce(DataFrame.unionByName, frames)
+    holds = F.count_if(F.col("side") == PARENT).alias("holds")
+    if rows is None:
+        rows = sum(t.rows.count() for t in tables)
+    parts = partitions_for(told.sparkSession, rows)
+    if parts:
+        # Only a key that is held stays whole; all others may have any number of rows.
+        many = (F.col("space") == RULES) | (F.col("side") != PARENT)
+        told = told.withColumn("part", F.when(many, (F.rand(SALTS) * SALTS).cast("int")).otherwise(F.lit(0)))
+        some = told.repartition(parts, "space", "key", "part").groupBy("space", "key", "part").agg(holds, *sides)
+        sums = [F.sum(c).alias(c) for c in some.columns[3:]]
+        counted = some.repartition(parts, "space", "key").groupBy("space", "key").agg(*sums)
+    else:
+        counted = told.groupBy("space", "key").agg(holds, *sides)
     found = []
     for table in tables:
         for name in table.rules:
@@ -189,8 +210,9 @@ def store_report(
     transactions: DataFrame,
     items: DataFrame,
     keys: Sequence[str] = ("store_name", "transaction_id"),
+    rows: int | None = None,
 ) -> DataFrame:
-    """Every constraint of the store tables, counted."""
+    """Every constraint of the store tables, counted; ``rows`` as in ``constraint_report``."""
     return constraint_report(
         [
             Checked(
@@ -236,7 +258,8 @@ def store_report(
                     "transaction known": (keys, "transactions", "key unique"),
                 },
             ),
-        ]
+        ],
+        rows,
     )
 
 

@@ -484,6 +484,7 @@ def quality_report(spark, folder):
         sample.transactions(spark, folder, with_store=False),
         sample.transaction_items(spark, folder),
         BY_ORDER,
+        sample.store_rows(spark, folder),
     )
 
 
@@ -518,6 +519,7 @@ def quality_report_dirty(spark, folder):
             product_id=(15, "concat('none-', product_id)"), transaction_id=(16, "-transaction_id"),
         ),
         BY_ORDER,
+        sample.store_rows(spark, folder),
     )
 
 

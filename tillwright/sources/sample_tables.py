@@ -12,6 +12,7 @@ from tillwright.functions.dates import iso_text
 from tillwright.operators.ingest import gather_items
 from tillwright.operators.orders import priced_items
 from tillwright.schemas import CUSTOMER_CREATED, POINT_UPDATED
+from tillwright.session import partitions_for
 from tillwright.streaming.events import envelope
 
 PAYMENT_BY_PRIORITY = {
@@ -80,8 +81,16 @@ def transactions(spark: SparkSession, folder: str, with_store: bool = True) -> D
 
 
 def transaction_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items summed to one row per order and part."""
-    summed = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+    """Line items summed to one row per order and part.
+
+    Few rows share both, so combining before the shuffle would only fill memory: many rows go
+    by order to tasks of a bounded number of them, which a join by order can use as they lie.
+    """
+    lines = table(spark, folder, "lineitem")
+    parts = partitions_for(spark, lines.count())
+    if parts:
+        lines = lines.select("l_orderkey", "l_partkey", "l_quantity").repartition(parts, "l_orderkey")
+    summed = lines.groupBy("l_orderkey", "l_partkey").agg(
         F.sum("l_quantity").alias("_quantity")
     )
     return summed.select(
@@ -91,6 +100,11 @@ def transaction_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def store_rows(spark: SparkSession, folder: str) -> int:
+    """Rows of the tables of a store together, from what the files tell about themselves."""
+    return sum(table(spark, folder, name).count() for name in ("supplier", "part", "orders", "lineitem"))
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_partkey").cast("string").alias("id"),
