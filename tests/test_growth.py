@@ -29,3 +29,30 @@ def test_a_report_over_many_rows_counts_the_same_in_bounded_tasks(spark):
     few, many = quality.constraint_report(tables), quality.constraint_report(tables, 7_000_000)
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
     assert re.search(r"hashpartitioning\(space#\d+, key#\d+, 7\)", plan(many))
+
+
+def test_loaded_rows_go_before_the_rest_is_ranked(spark, tmp_path, rows):
+    batch = spark.sql("SELECT * FROM VALUES (1L, 'a', 200001), (1L, 'b', 200001), (null, 'a', 200001), (2L, null, 200001) AS t(k, p, month)")
+    path = str(tmp_path / "facts")
+    warehouse.append_facts(batch.where("p = 'a' OR p IS NULL"), path, ("k", "p"), ("k",))
+    fresh = warehouse.new_rows(batch.unionAll(batch), path, ("k", "p"))
+    shown = plan(fresh)
+    assert shown.index("Window") < shown.index("LeftAnti")
+    assert rows(fresh) == [(1, "b", 200001)]
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    warehouse.append_facts(batch, path, ("k", "p"), ("k",))
+    assert spark.read.parquet(path).count() == 4
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+
+
+def test_the_product_is_looked_up_before_an_item_meets_its_transaction(spark):
+    heads = spark.sql("SELECT 1L AS transaction_id, 's' AS store_name, 1 AS employee_id, 'c' AS customer_id, TIMESTAMP_NTZ '2000-01-01 00:00:00' AS created_at, 'cash' AS payment_method, 0 AS discount, 1L AS final_amount, 0L AS point_changed")
+    items = spark.sql("SELECT 1L AS transaction_id, 'p' AS product_id, 1L AS quantity")
+    dims = [
+        spark.sql("SELECT 's' AS store_id, 1L AS store_key"), spark.sql("SELECT 1 AS employee_id, 1L AS employee_key, 1 AS is_current"),
+        spark.sql("SELECT 'c' AS customer_id, 1L AS customer_key"), spark.sql("SELECT 'p' AS product_id, 1L AS product_key"),
+    ]
+    fact = facts.fact_of_items(heads, items, *dims, keys=("transaction_id",))
+    joins = [line for line in fact._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
+    assert "transaction_id" in joins[0]
+    assert fact.select("product_key", "quantity").first() == (1, 1)
