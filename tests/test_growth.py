@@ -56,3 +56,11 @@ def test_the_product_is_looked_up_before_an_item_meets_its_transaction(spark):
     joins = [line for line in fact._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
     assert "transaction_id" in joins[0]
     assert fact.select("product_key", "quantity").first() == (1, 1)
+
+
+def test_orders_saved_twice_are_built_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalog.saved, "save_orders", lambda headers, items, *_: seen.extend([headers, items]))
+    monkeypatch.setattr(catalog.saved, "saved_orders", lambda *_: seen[:2])
+    catalog.QUERIES["saved_order_items"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 4 and all("lineitem" not in plan(df) and "Exchange" not in plan(df) for df in seen)

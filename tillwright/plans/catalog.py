@@ -406,7 +406,10 @@ def order_rejects(spark, folder):
 def saved_order_items(spark, folder):
     """Order items read back: a batch saved twice counts once, one without a marker never."""
     path = shared_folder(spark, "saved")
-    normal = _normal(spark, folder)
+    # Five writes follow; the documents are built, parsed and judged once for all of them.
+    judged = orders.judge_orders(orders.parse_orders(sample.order_documents(spark, folder))).drop("document")
+    judged.write.parquet(f"{path}/judged")
+    normal = orders.normal_form(spark.read.schema(judged.schema).parquet(f"{path}/judged"))
     for _ in range(2):
         saved.save_orders(normal.headers, normal.items, path, "1")
     normal.items.write.parquet(f"{path}/transaction_item/batch_id=2")
