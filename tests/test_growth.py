@@ -64,3 +64,15 @@ def test_orders_saved_twice_are_built_once(spark, monkeypatch):
     monkeypatch.setattr(catalog.saved, "saved_orders", lambda *_: seen[:2])
     catalog.QUERIES["saved_order_items"](spark, "/root/testdata/sf0.001")
     assert len(seen) == 4 and all("lineitem" not in plan(df) and "Exchange" not in plan(df) for df in seen)
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 20])
+def test_a_folder_of_csv_gets_one_file_unless_it_is_hot(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(lake, "hot_groups", lambda rows, keys, found=lake.hot_groups: found(rows, keys, hot))
+    rows = spark.range(100, numPartitions=8).select("id", F.when(F.col("id") < 60, F.lit("big")).otherwise((F.col("id") % 5).cast("string")).alias("slug"))
+    rows = rows.union(spark.sql("SELECT 100L, CAST(null AS STRING)"))
+    lake.write_csv(rows, str(tmp_path / "out"), "slug")
+    files = {d: [f for f in os.listdir(tmp_path / "out" / d) if f.endswith(".csv")] for d in os.listdir(tmp_path / "out") if d.startswith("slug=")}
+    assert len(files) == 7 and all(len(f) == 1 for d, f in files.items() if d != "slug=big")
+    assert (len(files["slug=big"]) > 1) == (hot == 20)
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 101
