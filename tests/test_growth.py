@@ -76,3 +76,11 @@ def test_a_folder_of_csv_gets_one_file_unless_it_is_hot(spark, tmp_path, monkeyp
     assert len(files) == 7 and all(len(f) == 1 for d, f in files.items() if d != "slug=big")
     assert (len(files["slug=big"]) > 1) == (hot == 20)
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 101
+
+
+def test_baskets_are_cut_without_a_rank_unless_one_is_hot(spark, rows):
+    items = spark.range(200).select((F.col("id") % 3).alias("transaction_id"), (F.col("id") * 37 % 211).cast("string").alias("product_id"), F.col("id").alias("quantity"))
+    items = items.union(spark.sql("SELECT 9L, CAST(null AS STRING), 5L"))
+    plain, hot = (ingest.pivot_items(items, 20, ("transaction_id",), min_hot_rows=n) for n in (1000, 10))
+    assert "Window" not in plan(plain)
+    assert rows(plain) == rows(hot) and plain.dtypes == hot.dtypes

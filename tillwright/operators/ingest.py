@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwright.functions.dates import instant
 from tillwright.operators.reshape import slot_columns
-from tillwright.operators.skew import MIN_HOT_ROWS, row_number_in_groups
+from tillwright.operators.skew import MIN_HOT_ROWS, hot_groups, row_number_in_groups
 
 ORDER_KEYS = ("store_name", "transaction_id")
 DEFAULT_SLOTS = 20
@@ -79,6 +79,7 @@ def pivot_items(
     slots: int = DEFAULT_SLOTS,
     keys: Sequence[str] = ORDER_KEYS,
     part: str = "part",
+    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Rows with columns ``product_id_1, quantity_1, ...`` for each transaction.
 
@@ -86,13 +87,20 @@ def pivot_items(
     slots goes on in further rows, numbered from 0 in column ``part``, so that no row
     holds more than ``slots`` items and every basket fits.
     """
-    ranked = rank_items(items.select(*keys, "product_id", "quantity"), keys, "_rank")
-    place = F.col("_rank") - 1
-    gathered = (
-        ranked.withColumn(part, F.expr(f"(_rank - 1) DIV {slots}").cast("int"))
-        .groupBy(*keys, part)
-        .agg(F.sort_array(F.collect_list(F.struct(place.alias("_at"), "product_id", "quantity"))).alias("_b"))
-    )
+    entries = items.select(*keys, "product_id", "quantity")
+    if hot_groups(entries, keys, min_hot_rows) is None:
+        # No basket is too big for a row: gathered at once and cut, it needs no rank before.
+        last = F.expr(f"(size(items) - 1) DIV {slots}").cast("int")
+        cut = F.transform(F.sequence(F.lit(0), last), lambda at: F.slice("items", at * slots + 1, slots))
+        gathered = gather_items(entries, keys).select(*keys, F.posexplode(cut).alias(part, "_b"))
+    else:
+        ranked = rank_items(entries, keys, "_rank", min_hot_rows)
+        place = F.col("_rank") - 1
+        gathered = (
+            ranked.withColumn(part, F.expr(f"(_rank - 1) DIV {slots}").cast("int"))
+            .groupBy(*keys, part)
+            .agg(F.sort_array(F.collect_list(F.struct(place.alias("_at"), "product_id", "quantity"))).alias("_b"))
+        )
     wide = []
     for slot in range(1, slots + 1):
         product, quantity = slot_columns(slot)
