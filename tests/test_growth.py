@@ -84,3 +84,9 @@ def test_baskets_are_cut_without_a_rank_unless_one_is_hot(spark, rows):
     plain, hot = (ingest.pivot_items(items, 20, ("transaction_id",), min_hot_rows=n) for n in (1000, 10))
     assert "Window" not in plan(plain)
     assert rows(plain) == rows(hot) and plain.dtypes == hot.dtypes
+
+
+def test_uploaded_items_are_parsed_once(spark):
+    raw = spark.range(3).select(*[F.col("id").cast("string").alias(f.name) for f in order_files.UPLOAD.fields])
+    for part in order_files.split_uploads(raw):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1

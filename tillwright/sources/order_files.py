@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tillwright.schemas import MONEY, ORDER, ORDER_ITEM
 
+# The column of parsed items.
+LISTED = "_listed"
 UPLOAD = T.StructType([T.StructField(f.name, T.StringType()) for f in ORDER.fields])
 
 
@@ -20,23 +22,31 @@ def listed_items(text: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
 
 
-def typed_items(text: Column) -> Column:
-    """Items of an order; a number in quotes is a number too, as forms send all as text."""
+def _step(rows: DataFrame, *columns: str | Column) -> DataFrame:
+    """Columns as a step of their own, so that filters and later columns do not repeat them."""
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
+def typed_items(listed: Column) -> Column:
+    """Listed items of an order; a number in quotes is a number too, as forms send all as text."""
     cell = lambda item, f: F.try_variant_get(item, f"$.{f.name}", f.dataType.simpleString())
     return F.transform(
-        listed_items(text), lambda item: F.struct(*[cell(item, f).alias(f.name) for f in ORDER_ITEM.fields])
+        listed, lambda item: F.struct(*[cell(item, f).alias(f.name) for f in ORDER_ITEM.fields])
     )
 
 
 def typed_orders(raw: DataFrame) -> DataFrame:
     """Order columns given as text, in the types of an order."""
     text = {f.name: F.trim(F.col(f.name)) for f in ORDER.fields}
-    return raw.select(
+    if LISTED not in raw.columns:
+        raw = raw.withColumn(LISTED, listed_items(text["items"]))
+    return _step(
+        raw,
         text["transaction_id"].alias("transaction_id"),
         text["customer_id"].alias("customer_id"),
         text["employee_id"].alias("employee_id"),
         F.try_to_timestamp(text["created_at"]).alias("created_at"),
-        typed_items(text["items"]).alias("items"),
+        typed_items(F.col(LISTED)).alias("items"),
         text["discount"].try_cast(MONEY).alias("discount"),
         text["payment_method"].alias("payment_method"),
     )
@@ -50,8 +60,8 @@ def quarantine_reason(raw: DataFrame) -> Column:
     whose quantity and price are numbers.
     """
     text = {f.name: F.trim(F.col(f.name)) for f in ORDER.fields}
+    listed = F.col(LISTED) if LISTED in raw.columns else listed_items(text["items"])
     given = lambda name: F.coalesce(text[name], F.lit("")) != ""
-    listed = listed_items(text["items"])
     number = lambda item, field: F.try_variant_get(item, f"$.{field}", "double").isNotNull()
     good = F.forall(listed, lambda item: number(item, "quantity") & number(item, "unit_price"))
     return (
@@ -64,9 +74,10 @@ def quarantine_reason(raw: DataFrame) -> Column:
 
 def split_uploads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed orders of uploaded rows, and the rows that cannot be read, with the reason."""
-    judged = raw.withColumn("reject_reason", quarantine_reason(raw))
+    parsed = _step(raw, *raw.columns, listed_items(F.trim("items")).alias(LISTED))
+    judged = _step(parsed, *parsed.columns, quarantine_reason(parsed).alias("reject_reason"))
     good = judged.where("reject_reason IS NULL").drop("reject_reason")
-    return typed_orders(good), judged.where("reject_reason IS NOT NULL")
+    return typed_orders(good), judged.where("reject_reason IS NOT NULL").drop(LISTED)
 
 
 def read_uploads(spark: SparkSession, path: str) -> DataFrame:
