@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import string
 from collections import Counter, defaultdict
@@ -427,3 +428,31 @@ def test_language_model_of_nothing(spark):
     df = spark.createDataFrame([(1, "a b", 0, "")], SCHEMA)
     row = ngram_trie.score_documents(df, ngram_trie.train(df.limit(0).select("text"))).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0, 0)
+
+
+def test_a_hot_context_has_as_many_files_as_its_tokens_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(ngram_trie, "HOT_CONTEXT", 100)
+    monkeypatch.setattr(ngram_trie, "BYTES_A_SHARD", 1 << 30)
+    text = " ".join(f"x y{i}" for i in range(250))
+    layout = ngram_trie.train(spark.createDataFrame([(1, text, 0, "")], SCHEMA).select("text"))
+    files = [f for f in os.listdir(layout.place) if f.startswith("paths-")]
+    # Three for the 250 followers of x, and one at most for the other words of each shard.
+    assert len(files) <= (1 << layout.shard_bits) + 3
+
+
+def test_sequences_with_long_runs_and_gaps():
+    """Runs of ones and of zeros beyond the bits that are read at once."""
+    rng = np.random.default_rng(5)
+    for scale in (1, 3, 1000):
+        steps = np.where(rng.random(3000) < 0.02, rng.integers(0, 2000 * scale, 3000), rng.integers(0, scale, 3000))
+        steps[500:900] = 0
+        keys = np.cumsum(steps)
+        made = EliasFano(np.concatenate(encode(keys.astype(np.uint64), int(keys[-1]) + 1)))
+        places = np.arange(len(keys))
+        assert (made.at(places) == keys).all()
+        here, after = made.pairs_at(places[:-1])
+        assert (here == keys[:-1]).all() and (after == keys[1:]).all()
+        asked = np.unique(np.concatenate((keys, rng.integers(0, keys[-1] + 50, 3000))))
+        found = made.find(asked.astype(np.uint64))
+        assert ((found >= 0) == np.isin(asked, keys)).all()
+        assert (keys[found[found >= 0]] == asked[found >= 0]).all()

@@ -16,6 +16,11 @@ import numpy as np
 #: Bits that can be read at any bit offset from the eight bytes there.
 WINDOW = 56
 HEADER = 7
+#: Masks to count the ones of all bytes of a number at once, and its highest bits.
+PAIRS, FOURS, BYTES = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+EVERY, TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: The place of the one of each rank, from 0, in each byte; 0 where it has fewer ones.
+IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[:8] for byte in range(256)], np.int64).ravel()
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -85,15 +90,17 @@ class EliasFano:
     @staticmethod
     def _select(words: np.ndarray, before: np.ndarray, word: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """The place of the set bit of each rank, from 1, that lies in ``word``."""
-        need = rank - before[word]
-        bit = np.zeros(len(rank), np.int64)
-        # The bit that is sought, by halves of the word.
-        for half in (32, 16, 8, 4, 2, 1):
-            lower = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.int64)
-            beyond = need > lower
-            need = np.where(beyond, need - lower, need)
-            words = np.where(beyond, words >> np.uint64(half), words)
-            bit += np.where(beyond, half, 0)
+        need = (rank - before[word] - 1).astype(np.uint64)
+        # Ones of each byte and of the bytes before it, in the eight bytes of a number.
+        sums = words - ((words >> np.uint64(1)) & PAIRS)
+        sums = (sums & FOURS) + ((sums >> np.uint64(2)) & FOURS)
+        sums = ((sums + (sums >> np.uint64(4))) & BYTES) * EVERY
+        # The byte where the rank is reached lies behind those whose sums are not above it.
+        before_it = (((need * EVERY) | TOPS) - sums) & TOPS
+        bit = np.bitwise_count(before_it).astype(np.uint64) << np.uint64(3)
+        need -= ((sums << np.uint64(8)) >> bit) & np.uint64(255)
+        inside = ((words >> bit) & np.uint64(255)) << np.uint64(3) | need
+        bit = bit.astype(np.int64) + IN_BYTE[inside.astype(np.int64)]
         return word * 64 + bit
 
     @staticmethod
@@ -105,12 +112,28 @@ class EliasFano:
         word = self._word_of(self.zeros, bucket)
         return np.where(bucket > 0, self._select(~self.high_words[word], self.zeros, word, bucket) + 1, 0)
 
-    def at(self, places: np.ndarray) -> np.ndarray:
-        """The keys at places of the sequence."""
+    def _ones(self, places: np.ndarray) -> np.ndarray:
+        """The bit of each place's one."""
         word = self._word_of(self.ones, places + 1)
-        high = self._select(self.high_words[word], self.ones, word, places + 1) - places
+        return self._select(self.high_words[word], self.ones, word, places + 1)
+
+    def _keys(self, places: np.ndarray, ones: np.ndarray) -> np.ndarray:
         low = self._bits(self.low, places * self.width) & np.uint64((1 << self.width) - 1)
-        return (high.astype(np.uint64) << np.uint64(self.width) | low).astype(np.int64)
+        return ((ones - places).astype(np.uint64) << np.uint64(self.width) | low).astype(np.int64)
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The keys at places of the sequence."""
+        return self._keys(places, self._ones(places))
+
+    def pairs_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys at places of the sequence, and those at the next places."""
+        ones, after = self._ones(places), places + 1
+        # The next one mostly lies in the bits that are read behind the first.
+        bits = self._bits(self.high, ones + 1) & np.uint64((1 << WINDOW) - 1)
+        next_ = ones + 1 + np.bitwise_count(~bits & (bits - np.uint64(1))).astype(np.int64)
+        if len(far := np.flatnonzero(bits == 0)):
+            next_[far] = self._ones(after[far])
+        return self._keys(places, ones), self._keys(after, next_)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key in the sequence, or -1."""
@@ -126,8 +149,14 @@ class EliasFano:
         # Buckets beyond the last one hold nothing.
         active = np.flatnonzero((bucket < self.buckets) & (begins < ends))
         bucket, low = bucket[active], keys[active] & mask
-        first = np.maximum(self._starts(bucket) - bucket, begins[active])
-        last = np.minimum(self._starts(bucket + 1) - bucket - 1, ends[active])
+        starts = self._starts(bucket)
+        # A bucket is a run of ones, which mostly ends in the bits that are read.
+        bits = self._bits(self.high, starts) & np.uint64((1 << WINDOW) - 1)
+        run = np.bitwise_count(bits & ~(bits + np.uint64(1))).astype(np.int64)
+        if len(long := np.flatnonzero(run == WINDOW)):
+            run[long] = self._starts(bucket[long] + 1) - 1 - starts[long]
+        first = np.maximum(starts - bucket, begins[active])
+        last = np.minimum(starts - bucket + run, ends[active])
         # Low bits ascend within a bucket: halve its range until the successor is left.
         open_ = np.flatnonzero(first < last)
         begin, end = first.copy(), last.copy()

@@ -41,8 +41,9 @@ LETTERS_AT_ONCE = 4_000_000
 PAIRS_AT_ONCE = 3_000_000
 #: There are as many shards as make this much text each, so that a task's share is bounded.
 BYTES_A_SHARD = 64 << 20
-#: Paths from a word with so many tokens are spread over as many parts.
-HOT_CONTEXT, HOT_PARTS = 1_000_000, 64
+#: Paths from a word of more tokens are spread by their second word, so many tokens a part, so
+#: that files are as many as the texts ask for. Numbers of parts are below ``HOT_PARTS``.
+HOT_CONTEXT, HOT_PARTS = 2_000_000, 1 << 14
 #: Ids of words must fit into half a key of 64 bits.
 MOST_WORDS = (1 << 32) - 2
 #: Files of a kind that a task holds mapped at once; pages of more would count as its memory.
@@ -216,7 +217,7 @@ class Level:
         # Rows of one node stand together, so its range is read once.
         first = np.flatnonzero(np.diff(nodes, prepend=-1))
         own, times = nodes[first], np.diff(first, append=len(nodes))
-        begins, ends = self.pointers.at(own), self.pointers.at(own + 1)
+        begins, ends = self.pointers.pairs_at(own)
         before = np.where(begins > 0, self.followers.at(np.maximum(begins - 1, 0)), 0)
         begins, ends, before = (np.repeat(x, times) for x in (begins, ends, before))
         return self.followers.find_within((before + words + 1).astype(np.uint64), begins, ends)
@@ -269,11 +270,13 @@ class Trie:
         shard = np.searchsorted(self.layout.firsts, ids, "right") - 1
         return shard, ids - self.layout.firsts[shard]
 
-    def files_of(self, firsts: np.ndarray, hot: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The file that holds a path, by its first two words, and the first word's place in its shard."""
+    def files_of(self, firsts: np.ndarray, seen: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The file that holds a path, by its first two words and how often the first was
+        seen, and the first word's place in its shard."""
         shard, place = self.shard_of(firsts)
-        part = np.where(hot, 1 + seconds * HOT_PARTS // (self.layout.size + 1), 0)
-        return shard * (HOT_PARTS + 1) + part, place
+        parts = np.minimum(-(-seen // HOT_CONTEXT), HOT_PARTS - 1)
+        part = np.where(parts > 1, 1 + seconds * parts // (self.layout.size + 1), 0)
+        return shard * HOT_PARTS + part, place
 
     def weights_of(self, ids: np.ndarray) -> np.ndarray:
         """The weight of the first level behind each word."""
@@ -356,7 +359,7 @@ def _packed_paths(trie: Trie, ids: np.ndarray, seen: np.ndarray, step: np.ndarra
     """
     order = trie.layout.order
     begin = np.flatnonzero(step[1:] > 0)
-    file, place = trie.files_of(ids[begin], seen[begin] >= HOT_CONTEXT, ids[begin + 1])
+    file, place = trie.files_of(ids[begin], seen[begin], ids[begin + 1])
     files, roots, node = _distinct(file, place)
     levels, size = [], len(roots)
     for depth in range(1, order):
@@ -384,8 +387,8 @@ def _packed_paths(trie: Trie, ids: np.ndarray, seen: np.ndarray, step: np.ndarra
     at = files[cuts]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(at // (HOT_PARTS + 1), pa.int32()),
-            pa.array(at % (HOT_PARTS + 1), pa.int32()),
+            pa.array(at // HOT_PARTS, pa.int32()),
+            pa.array(at % HOT_PARTS, pa.int32()),
             pa.array(blobs, pa.binary()),
             pa.array([b""] * len(blobs), pa.binary()),
         ],
@@ -460,7 +463,7 @@ def _build_paths(shared):
             universe = int(raised[-1]) + 1 if len(raised) else 1
             arrays += [_sequence(pointers, len(word) + 1), _sequence(raised, universe), codes, weights]
             above = count
-        _write(layout.place, f"paths-{shard * (HOT_PARTS + 1) + part}", arrays)
+        _write(layout.place, f"paths-{shard * HOT_PARTS + part}", arrays)
         followers = np.bincount(levels[0][0], minlength=len(roots))
         return _built(shard, part, len(roots), 0, roots.tobytes(), followers.astype(np.int64).tobytes())
 
@@ -536,9 +539,9 @@ def _chances(trie: Trie, ids: np.ndarray, seen: np.ndarray, step: np.ndarray, si
         begin = begin[known]
         if depth == 1:
             firsts, words, place = _distinct(ids[begin], ids[begin + 1])
-            hot = np.zeros(len(firsts), bool)
-            hot[place] = seen[begin] >= HOT_CONTEXT
-            files, roots = trie.files_of(firsts, hot, words)
+            times = np.zeros(len(firsts), np.int64)
+            times[place] = seen[begin]
+            files, roots = trie.files_of(firsts, times, words)
             nodes = trie.roots(files, roots)
         else:
             parents, words, place = _distinct(node[known], ids[begin + depth])
