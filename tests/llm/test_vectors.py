@@ -106,3 +106,12 @@ def test_search_with_fewer_rows_than_asked_for_and_none(spark):
     one = spark.createDataFrame([(0, [1.0], 0, 0, ""), (1, [2.0], 0, 0, "")], SCHEMA)
     assert list(map(tuple, exact_top_k(one, F.lit(True), 10).collect())) != []
     assert exact_top_k(spark.createDataFrame([], SCHEMA), F.lit(True), 10).collect() == []
+
+
+def test_search_sends_no_vector_to_the_driver_or_to_a_salt(spark):
+    rows = rows_of(3, 60)
+    got = exact_top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, 10, rows_per_block=8, queries_per_block=8)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan
+    assert "Broadcast" not in plan and "Generate" not in plan

@@ -144,11 +144,11 @@ def exact_top_k(
     vectors meet only vectors of their length. A repeated row of one id and vector counts
     once. An empty table gives an empty result.
 
-    Blocks of queries meet blocks of rows under a key of query block and salt, so nothing
-    is broadcast and no task holds more than two blocks; the best k of each pair of blocks
-    are combined by a window that is cut before its shuffle.
+    Each partition of blocks of rows meets each partition of blocks of queries where it is
+    read, so no vector is broadcast or shuffled again; a task holds one partition of
+    queries and streams its blocks by. The best k of each pair of blocks are combined by a
+    window that is cut before its shuffle.
     """
-    spark = df.sparkSession
     rows = df.select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), is_query.alias("q")
     ).where("id IS NOT NULL AND vector IS NOT NULL")
@@ -156,20 +156,9 @@ def exact_top_k(
     blocks = staged(rows.select("id", "vector").mapInArrow(_pack(scale, rows_per_block), BLOCK), "va-file")
     asked = rows.where("q").select("id", "vector")
     asked = staged(asked.mapInArrow(_pack(scale, queries_per_block), BLOCK), "va-queries")
-    asked = asked.select("dim", F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("exact").alias("queries"))
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = asked.select("dim", "query_block")
-    salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int")
-    pairs = (
-        blocks.withColumn("salt", salt)
-        .join(names.groupBy("dim").agg(F.collect_list("query_block").alias("all")), "dim")
-        .withColumn("query_block", F.explode("all"))
-        .drop("all")
-        .join(
-            asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
-            ["dim", "query_block", "salt"],
-        )
-    )
+    asked = asked.select("dim", F.col("ids").alias("query_ids"), F.col("exact").alias("queries"))
+    # Every partition of blocks reads every partition of queries, each as it lies on disk.
+    pairs = blocks.join(asked.hint("shuffle_replicate_nl"), "dim")
     found = pairs.mapInArrow(_search(k), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
