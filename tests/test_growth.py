@@ -122,3 +122,19 @@ def test_documents_of_the_stream_are_packed(spark, monkeypatch):
     files = [f for f in os.listdir(topic) if f.startswith("part-")]
     assert files and all(f.endswith(".gz") for f in files)
     assert sorted(r.value for r in spark.read.text(topic).collect()) == sorted(r.value for r in documents.collect())
+
+
+def test_dimensions_of_several_loads_are_built_once(spark, monkeypatch):
+    loads = []
+
+    def noted(fact, path, **more):
+        loads.append((fact, more))
+        if len(loads) == 3:
+            raise InterruptedError
+
+    monkeypatch.setattr(catalog.warehouse, "append_facts", noted)
+    with pytest.raises(InterruptedError):
+        catalog.QUERIES["report_on_loaded_fact"](spark, "/root/testdata/sf0.001")
+    for fact, more in loads:
+        assert more["months"] and set(more["made"]) == {"sales_key"}
+        assert not [f for f in fact.inputFiles() if f.endswith(("/nation.parquet", "/part.parquet"))]
