@@ -138,3 +138,23 @@ def test_dimensions_of_several_loads_are_built_once(spark, monkeypatch):
     for fact, more in loads:
         assert more["months"] and set(more["made"]) == {"sales_key"}
         assert not [f for f in fact.inputFiles() if f.endswith(("/nation.parquet", "/part.parquet"))]
+
+
+def test_pages_are_matched_once_and_folders_listed_by_few_tasks(spark, monkeypatch):
+    pages = spark.range(80).select(F.col("id").alias("page_id"), F.format_string("<title>Town %d</title>", F.col("id") % 40).alias("html"))
+    pages = pages.union(spark.sql("SELECT 80L, 'no title'")).union(spark.sql("SELECT 81L, CAST(null AS STRING)"))
+    monkeypatch.setattr(catalog.sample, "pages", lambda *_: pages)
+    written, write_csv = [], catalog.lake.write_csv
+    monkeypatch.setattr(catalog.lake, "write_csv", lambda rows, *rest: (written.append(rows), write_csv(rows, *rest)))
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.sparkContext.setJobGroup("folders", "folders")
+    found = catalog.QUERIES["region_files"](spark, "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("folders") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(name) == before and tasks and max(tasks) < 40
+    assert "regexp_extract" not in plan(written[0])
+    counts = {r.slug: (r.pages, r.first_page) for r in found.collect()}
+    assert len(counts) == 41 and counts["town-7"] == (2, 7) and counts[None] == (2, 80)
